@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import secrets
+from . import packing, secrets
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op7_pack": packing.op7_pack,
 }
 ORACLES: dict[str, str] = {}
