@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import packing, secrets
+from . import fingerprints, packing, secrets, urlfilter
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op5_fingerprint": fingerprints.op5_fingerprint,
+    "op6_url_filter": urlfilter.op6_url_filter,
     "op7_pack": packing.op7_pack,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_url_filter": urlfilter.OP6_SQL,
+}

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that one numpy pass takes at a time; a longer document is a pass of its own.
 CHUNK_BYTES = 1 << 20
@@ -56,20 +57,9 @@ def crc_mod(column: str, modulus: int):
     return F.coalesce(F.crc32(F.encode(F.col(column).cast("string"), "UTF-8")) % modulus, F.lit(0))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of one batch."""
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield from fn(batch)
-
-    return df.mapInArrow(run, schema)
-
-
-def text_bytes(column: pa.Array) -> list[bytes]:
-    """Each text as UTF-8; null is empty."""
-    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+def with_fields(df: DataFrame, **fields: str) -> T.StructType:
+    """The schema of ``df`` with more fields: name=type."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"{k} {v}" for k, v in fields.items())).fields])
 
 
 def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
