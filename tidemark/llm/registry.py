@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import fingerprints, lm, packing, secrets, urlfilter
+from . import fingerprints, lm, ngram_join, packing, secrets, urlfilter
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_lm_score": lm.op2_lm_score,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_fingerprint": fingerprints.op5_fingerprint,
     "op6_url_filter": urlfilter.op6_url_filter,
     "op7_pack": packing.op7_pack,
