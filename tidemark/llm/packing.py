@@ -13,6 +13,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,13 @@ from .shared import documents, durable
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
-#: Words whose ids a worker keeps; beyond that it starts afresh.
-CACHE_WORDS = 400_000
+#: Words whose ids a worker keeps in each of two generations; one that is used again moves to the younger.
+CACHE_WORDS = 500_000
 
-_WS = "\t-\r \x85\xa0  -     　\x1c-\x1f"
-#: A space with white space on both sides, or before the end: only there does a word's id depend on its neighbours.
-_JOINED = re.compile(f"[{_WS}] (?:[{_WS}]|$)")
+_WS = "\\t-\\r \\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Two white-space characters in a row: only there do a word's ids depend on its neighbours.
+_RUN = re.compile(f"[{_WS}][{_WS}]")
+_INNER = re.compile(f"[{_WS}]")
 _SPECIAL = re.compile(r"<\|")
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -45,9 +48,9 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class Encoder:
     """Token ids of texts as little-endian 32-bit bytes, equal to the tokenizer's own ids of each whole text.
 
-    The tokenizer splits before every space that is not inside a run of white space, so words are
-    encoded once and looked up from then on. Texts with such runs, or with what may be a special
-    token, are encoded whole.
+    The tokenizer splits before every lone space and around every lone line end, so words are
+    encoded once and looked up from then on. Texts with runs of white space, or with what may be a
+    special token, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -55,29 +58,59 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first: dict[str, bytes] = {"": b""}
-        self.rest: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.line_end = self._whole(["\n"])[0]
+        #: By what stands before a word: nothing (a text's first), or a space or line end.
+        self.caches: dict[str, list[dict[str, bytes]]] = {"": [{}, {}], " ": [{}, {}]}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str], before: str) -> list[bytes]:
+        """Ids of each of the words after ``before``, many lines to a call; a line's ids end at the next line end's."""
+        out: dict[str, bytes] = {}
+        plain = [w for w in words if w and not _INNER.search(w)]
+        mark = int.from_bytes(self.line_end, "little")
+        for at in range(0, len(plain), 256):
+            some = plain[at : at + 256]
+            ids = array("I", self.tokenizer.encode_batch_fast(["\n".join([before + w for w in some])], add_special_tokens=False)[0].ids)
+            raw, ends = ids.tobytes(), [*(np.flatnonzero(np.frombuffer(ids, np.uint32) == mark) * 4).tolist(), 4 * len(ids)]
+            if len(ends) != len(some):
+                out.update(zip(some, self._whole([before + w for w in some]), strict=True))
+                continue
+            start = 0
+            for w, e in zip(some, ends, strict=True):
+                out[w] = raw[start:e]
+                start = e + 4
+        other = [w for w in words if w not in out]
+        out.update(zip(other, self._whole([before + w for w in other]), strict=True))
+        return [out[w] for w in words]
+
+    def _learn(self, words: set[str], before: str) -> dict[str, bytes]:
+        """A cache that has all of ``words``."""
+        young, old = generations = self.caches[before]
+        new = [w for w in words if w not in young]
+        if len(young) + len(new) > CACHE_WORDS:
+            young, old = {}, young
+            generations[:] = young, old
+            new = list(words)
+        young.update((w, old[w]) for w in new if w in old)
+        new = [w for w in new if w not in young]
+        lines = [w for w in new if w[:1] == "\n"] if before else []
+        new = [w for w in new if w[:1] != "\n"] if lines else new
+        young.update(zip(new, self._words(new, before), strict=True))
+        young.update((w, self.line_end + i) for w, i in zip(lines, self._words([w[1:] for w in lines], ""), strict=True))
+        return young
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [bool(_JOINED.search(t) or _SPECIAL.search(t)) for t in texts]
-        split = [[] if w else t.split(" ") for t, w in zip(texts, whole, strict=True)]
-        first, rest = {w[0] for w in split if w}, set()
-        for w in split:
-            rest.update(w[1:])
-        for cache, words, prefix in ((self.first, first, ""), (self.rest, rest, " ")):
-            new = [w for w in words if w not in cache]
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = list(words)
-            cache.update(zip(new, self._ids([prefix + w for w in new]), strict=True))
-        get = self.rest.__getitem__
-        out = [b"" if not w else self.first[w[0]] + b"".join(map(get, w[1:])) for w in split]
+        whole = [bool(_RUN.search(t) or _SPECIAL.search(t)) for t in texts]
+        split = [[] if w else t.replace("\n", " \n").split(" ") for t, w in zip(texts, whole, strict=True)]
+        first = self._learn({w[0] for w in split if w}, "")
+        rest = self._learn(set(chain.from_iterable(islice(w, 1, None) for w in split)), " ")
+        get = rest.__getitem__
+        out = [first[w[0]] + b"".join(map(get, islice(w, 1, None))) if w else b"" for w in split]
         for i, w in enumerate(whole):
             if w:
-                out[i] = self._ids([texts[i]])[0]
+                out[i] = self._whole([texts[i]])[0]
         return out
 
 
