@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import fingerprints, lm, mixing, ngram_join, packing, quality, secrets, urlfilter
+from . import ann, fingerprints, lm, mixing, ngram_join, packing, quality, secrets, urlfilter
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_lm_score": lm.op2_lm_score,
+    "op3_ann": ann.op3_ann,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_fingerprint": fingerprints.op5_fingerprint,
     "op6_url_filter": urlfilter.op6_url_filter,
