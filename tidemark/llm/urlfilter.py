@@ -29,6 +29,8 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 DEFAULT_VERDICT = "allow"
 _MAGIC = b"TMDA"
 _OPEN: dict[str, DigestArray] = {}
+#: (application, name) of what this driver has shipped.
+_SHIPPED: set[tuple[str, str]] = set()
 
 
 class DigestArray:
@@ -81,8 +83,11 @@ def ship(spark: SparkSession, keys: Iterable[str]) -> str:
     """Write the array once, give it to every executor, and return the name to open it by."""
     keys = sorted(set(keys))
     name = f"digests-{hashlib.sha256(chr(10).join(keys).encode()).hexdigest()[:24]}.bin"
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.sparkContext.addFile(DigestArray.write(os.path.join(folder, name), keys))
+    sc = spark.sparkContext
+    if (sc.applicationId, name) not in _SHIPPED:  # Spark refuses a second file of the name
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        sc.addFile(DigestArray.write(os.path.join(folder, name), keys))
+        _SHIPPED.add((sc.applicationId, name))
     return name
 
 
