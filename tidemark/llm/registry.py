@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, fingerprints, lm, mixing, ngram_join, packing, quality, secrets, urlfilter
+from . import ann, fingerprints, lm, mixing, ngram_join, packing, quality, secrets, suffix_dedup, urlfilter
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_fingerprint": fingerprints.op5_fingerprint,
     "op6_url_filter": urlfilter.op6_url_filter,
     "op7_pack": packing.op7_pack,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_mix": mixing.op9_mix,
     "op10_quality": quality.op10_quality,
 }
