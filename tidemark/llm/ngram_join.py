@@ -3,9 +3,11 @@
 1. Equal sets are one class, known by a hash of the set.
 2. Of a fixed share of the hash space, shingles that only one class has are counted. A class with
    more than a quarter (1 - threshold) of its shingles its own can link to nothing and is done.
-3. Classes that share one of the first shingles in hash order (the prefix that a linked pair must
-   share) form blocks. Shared shingles are first united within each batch, so one that very many
-   documents hold is one row a batch.
+   The sets of the rest are written down, and all of their shingles counted in the same way.
+3. Classes that share one of the first shingles of a global order (the prefix that a linked pair
+   must share) form blocks. The order puts rare shingles first, so that a passage that many
+   documents quote joins no blocks unless documents hold little else. Shared shingles are united
+   within each batch first, so one that very many documents hold is one row a batch.
 4. A signature tree joins the sets of each block. A block beyond BLOCK classes is cut in slices by
    size, and every two slices whose sizes can link are joined by a task of their own.
 5. Links become components, and classes hand their component to their documents.
@@ -32,14 +34,17 @@ COUNTED = 0.31
 BLOCK = 4096
 #: Positions of the bitmap that tells likely classes when texts are read again; what it lets through is tested exactly.
 FILTER_BITS = 1 << 24
+#: Positions of the table of how common shingles are (log2 of the classes that hold them, 2 and up). The order
+#: that it gives is the same for all sets, so shingles that share a position cost time but no link.
+LEVELS = 1 << 22
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+_ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
 
 def class_of(tokens: np.ndarray) -> int:
     """Signed 64-bit hash of a set of sorted tokens."""
-    n = np.uint64(len(tokens))
-    k = mix(np.bitwise_xor.reduce(mix(tokens + _GOLD)) + np.add.reduce(mix(tokens ^ _GOLD)) + mix(np.atleast_1d(n))[0])
-    return int(np.uint64(k).astype(np.int64))
+    parts = np.array([np.bitwise_xor.reduce(mix(tokens + _GOLD)), np.add.reduce(mix(tokens ^ _GOLD)), len(tokens)], np.uint64)
+    return int(mix(np.add.reduce(mix(parts * _ODD), keepdims=True)).view(np.int64)[0])
 
 
 def _sets(batch: pa.RecordBatch):
@@ -49,8 +54,14 @@ def _sets(batch: pa.RecordBatch):
             yield at + i, s
 
 
-def _place(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    return mix(keys.astype(np.uint64) ^ mix(ids.astype(np.uint64))) % np.uint64(FILTER_BITS)
+def _place(keys: np.ndarray, ids: np.ndarray | None = None) -> np.ndarray:
+    """Position of each class in the bitmap; with ``ids``, of each class in that document."""
+    k = keys.astype(np.uint64)
+    return mix(k if ids is None else k ^ mix(ids.astype(np.uint64))) % np.uint64(FILTER_BITS)
+
+
+def _passes(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
 
 
 def _packed(tokens: np.ndarray, keys: np.ndarray, buckets: int):
@@ -102,8 +113,58 @@ def classes(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, "doc_id long, key long, n long")
 
 
-def _own_counts(df: DataFrame, parts: int) -> DataFrame:
-    """key, own: how many shingles of the counted share no other class has (keys with none are absent)."""
+def _count(packed: DataFrame, parts: int, levels: bool = False) -> tuple[DataFrame, np.ndarray]:
+    """(key, own), how many of a class's packed shingles no other class has (classes with none are absent); and with ``levels`` the table of LEVELS.
+
+    Counts by class leave a task as arrays, dealt by class, and so do the levels.
+    """
+
+    def count(batches):
+        tokens, keys = _gathered(batches)
+        start, n = _runs(tokens)
+        if not len(start):
+            return
+        low, high = np.minimum.reduceat(keys, start), np.maximum.reduceat(keys, start)
+        k, c = np.unique(low[low == high], return_counts=True)  # a class in two batches comes twice
+        to = (k.astype(np.uint64) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        cuts = np.flatnonzero(np.diff(to[order], prepend=-1))
+        rows = [(int(to[at[0]]), k[at].tobytes(), c[at].astype(np.int32).tobytes()) for at in np.split(order, cuts[1:])] if len(k) else []
+        if levels:
+            many = (n > 3) & (low != high)
+            level = np.zeros(LEVELS, np.int32)
+            np.maximum.at(level, (tokens[start[many]] % np.uint64(LEVELS)).astype(np.int64), np.log2(n[many]).astype(np.int32))
+            at = np.flatnonzero(level)
+            # Levels are told from counts by their negative numbers.
+            cuts = np.searchsorted(at, np.arange(1, parts) * (LEVELS // parts + 1))
+            rows += [(i, x.tobytes(), (-y).astype(np.int32).tobytes()) for i, (x, y) in enumerate(zip(np.split(at, cuts), np.split(level[at], cuts), strict=True)) if len(x)]
+        if rows:
+            yield _pack_batch(rows)
+
+    def total(batches):
+        k, c = [], []
+        for batch in batches:
+            k += [np.frombuffer(x, np.int64) for x in batch.column("tokens").to_pylist()]
+            c += [np.frombuffer(x, np.int32) for x in batch.column("keys").to_pylist()]
+        if k:
+            key, count = np.concatenate(k), np.concatenate(c)
+            keys, at = np.unique(key[count > 0], return_inverse=True)
+            own = np.bincount(at, count[count > 0], len(keys)).astype(np.int64)
+            level = np.zeros(LEVELS if (count < 0).any() else 0, np.int64)
+            np.minimum.at(level, key[count < 0], count[count < 0])
+            at = np.flatnonzero(level)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((keys, at))), pa.array(np.concatenate((own, level[at])))], names=["key", "own"])
+
+    out = durable(packed.repartition(parts, "bucket").mapInArrow(count, _PACKED).repartition(parts, "bucket").mapInArrow(total, "key long, own long"))
+    table = np.zeros(LEVELS, np.uint8)
+    if levels:
+        got = out.where("own < 0").groupBy("key").agg(F.min("own").alias("own")).toArrow()  # at most LEVELS rows
+        table[got.column("key").to_numpy()] = -got.column("own").to_numpy()
+    return out.where("own > 0"), table
+
+
+def _sampled(df: DataFrame, parts: int) -> DataFrame:
+    """Packed shingles of the counted share of the hash space, for all texts."""
     limit = np.uint64(int(COUNTED * 2.0**64))
 
     def pack(batches):
@@ -112,65 +173,87 @@ def _own_counts(df: DataFrame, parts: int) -> DataFrame:
             for _, s in _sets(batch):
                 if len(s):
                     held.setdefault(class_of(s), s[: np.searchsorted(s, limit)])
-            if not held:
-                continue
-            tokens = np.concatenate(list(held.values()))
-            keys = np.repeat(np.array(list(held), np.int64), [len(s) for s in held.values()])
-            order = np.argsort(tokens, kind="stable")
-            start, n = _runs(tokens[order])
-            keep = np.zeros(len(tokens), bool)
-            keep[order[start]] = True
-            keep[order[start[n > 1] + 1]] = True  # two holders tell as much as all
-            if keep.any():
-                yield _pack_batch(_packed(tokens[keep], keys[keep], parts * 4))
+            yield from _packed_holders(held, parts)
+
+    return df.mapInArrow(pack, _PACKED)
 
-    def count(batches):
-        tokens, keys = _gathered(batches)
-        start, n = _runs(tokens)
-        # A class in two batches comes twice: holders are counted by distinct key.
-        first, last = keys[start], np.maximum.reduceat(keys, start) if len(start) else keys
-        single = (np.minimum.reduceat(keys, start) == last) if len(start) else np.zeros(0, bool)
-        k, c = np.unique(first[single], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(c, pa.int64())], names=["key", "own"])
 
-    return df.mapInArrow(pack, _PACKED).repartition(parts, "bucket").mapInArrow(count, "key long, own long").groupBy("key").agg(F.sum("own").alias("own"))
+def _packed_holders(held: dict[int, np.ndarray], parts: int):
+    """Packed rows of each shingle with its holders, of which there need be no more than four: more tell the counts nothing new but how common it is."""
+    if not held:
+        return
+    tokens = np.concatenate(list(held.values()))
+    keys = np.repeat(np.array(list(held), np.int64), [len(s) for s in held.values()])
+    order = np.argsort(tokens, kind="stable")
+    start, n = _runs(tokens[order])
+    keep = np.arange(len(order)) - np.repeat(start, n) < 4
+    if keep.any():
+        yield _pack_batch(_packed(tokens[order][keep], keys[order][keep], parts * 4))
+
+
+def _all_shingles(sets: DataFrame, parts: int) -> DataFrame:
+    def pack(batches):
+        for batch in batches:
+            yield from _packed_holders(dict(_stored(batch)), parts)
 
+    return sets.mapInArrow(pack, _PACKED)
 
-def _filter(keys: DataFrame):
-    """A broadcast bitmap of FILTER_BITS positions for (key, rep): at most 2 MB, however many keys."""
+
+def _stored(batch: pa.RecordBatch):
+    """(key, shingles) of stored sets."""
+    for k, t in zip(batch.column("key").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
+        yield k, np.frombuffer(t, np.uint64)
+
+
+def _filter(keys: DataFrame, by_document: bool = False):
+    """A broadcast bitmap of FILTER_BITS positions for the keys (or for each with its ``rep``): 2 MB, however many."""
 
     def run(batches):
         for batch in batches:
-            at = np.unique(_place(batch.column("key").to_numpy(), batch.column("rep").to_numpy()))
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32))], names=["at"])
+            ids = batch.column("rep").to_numpy() if by_document else None
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_place(batch.column("key").to_numpy(), ids)).astype(np.int32))], names=["at"])
 
-    at = keys.select("key", F.coalesce("rep", F.lit(0)).alias("rep")).mapInArrow(run, "at int").distinct().toArrow()
+    rows = keys.select("key", F.coalesce("rep", F.lit(0)).alias("rep")) if by_document else keys.select("key")
+    at = rows.mapInArrow(run, "at int").distinct().toArrow()
     bits = np.zeros(FILTER_BITS, bool)
     bits[at.column("at").to_numpy()] = True
     return keys.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
 
-def _likely(batch: pa.RecordBatch, bits: np.ndarray):
-    """(key, shingles) of the batch's texts that the bitmap lets through, each key once."""
-    ids = batch.column("doc_id").fill_null(0).to_numpy()
-    seen = set()
-    for row, s in _sets(batch):
-        if len(s):
-            key = class_of(s)
-            at = int(_place(np.array([key]), ids[row : row + 1])[0])
-            if bits[at >> 3] >> (7 - (at & 7)) & 1 and key not in seen:
-                seen.add(key)
-                yield key, s
+def _sets_of(df: DataFrame, alive: DataFrame) -> DataFrame:
+    """(key, tokens) of the classes of ``alive``, and the few more that the bitmap lets through: of the rows of each class's smallest doc_id."""
+    bits = _filter(alive, by_document=True)
 
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("doc_id").fill_null(0).to_numpy()
+            held: dict[int, bytes] = {}
+            for row, s in _sets(batch):
+                if len(s):
+                    key = class_of(s)
+                    if _passes(bits.value, _place(np.array([key]), ids[row : row + 1]))[0]:
+                        held[key] = s.tobytes()
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.binary())], names=["key", "tokens"])
+
+    return df.mapInArrow(run, "key long, tokens binary")
 
-def _prefix(s: np.ndarray) -> np.ndarray:
-    """The first shingles in hash order, of which a linked set must have one."""
-    return s[: len(s) - -(-NUMERATOR * len(s) // DENOMINATOR) + 1]
 
+def _kept(batch: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    """The rows whose key the bitmap lets through."""
+    return batch.filter(pa.array(_passes(bits, _place(batch.column("key").to_numpy()))))
 
-def _shared_edges(df: DataFrame, keys: DataFrame, parts: int) -> DataFrame:
+
+def _prefix(s: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The first shingles in the order (level, hash), of which a linked set must have one."""
+    n = len(s) - -(-NUMERATOR * len(s) // DENOMINATOR) + 1
+    return s[np.argsort(level[(s % np.uint64(LEVELS)).astype(np.int64)], kind="stable")[:n]]
+
+
+def _shared_edges(sets: DataFrame, keys: DataFrame, level: np.ndarray, parts: int) -> DataFrame:
     """(u, v): classes of ``keys`` that share a prefix shingle, as a star for each batch and one over the batches."""
     bits = _filter(keys)
+    levels = keys.sparkSession.sparkContext.broadcast(level)  # LEVELS bytes
 
     def stars(tokens: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of runs of equal tokens: the least owner of each run, and the edges from its other owners."""
@@ -183,7 +266,7 @@ def _shared_edges(df: DataFrame, keys: DataFrame, parts: int) -> DataFrame:
 
     def pack(batches):
         for batch in batches:
-            held = {k: _prefix(s) for k, s in _likely(batch, bits.value)}
+            held = {k: _prefix(s, levels.value) for k, s in _stored(_kept(batch, bits.value))}
             if not held:
                 continue
             tokens = np.concatenate(list(held.values()))
@@ -212,7 +295,7 @@ def _shared_edges(df: DataFrame, keys: DataFrame, parts: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(e[:, 0], pa.int64()), pa.array(e[:, 1], pa.int64())], names=["u", "v"])
 
     # What the bitmap lets through by chance can only join blocks, never part them; such keys are not among ``keys`` later.
-    return df.mapInArrow(pack, _PACKED).repartition(parts, "bucket").mapInArrow(meet, "u long, v long").distinct()
+    return sets.mapInArrow(pack, _PACKED).repartition(parts, "bucket").mapInArrow(meet, "u long, v long").distinct()
 
 
 def _tasks(keys: DataFrame, block: int) -> DataFrame:
@@ -234,18 +317,16 @@ def _tasks(keys: DataFrame, block: int) -> DataFrame:
     return whole.unionByName(first).unionByName(second)
 
 
-def _links(df: DataFrame, keys: DataFrame, block: int, parts: int) -> DataFrame:
+def _links(sets: DataFrame, keys: DataFrame, block: int, parts: int) -> DataFrame:
     """(u, v): each class of ``keys`` (key, rep, n, comp) with the least that a task found it linked to, if there is one."""
     tasks = durable(_tasks(keys, block))
     bits = _filter(keys.join(tasks.select("key").distinct(), "key", "left_semi"))
 
     def emit(batches):
         for batch in batches:
-            held = dict(_likely(batch, bits.value))
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([s.tobytes() for s in held.values()], pa.binary())], names=["key", "tokens"])
+            yield _kept(batch, bits.value)
 
-    sets = df.mapInArrow(emit, "key long, tokens binary")
+    sets = sets.mapInArrow(emit, "key long, tokens binary")
     rows = tasks.join(sets, "key").select("task.comp", "task.a", "task.b", "side", "key", "tokens")
 
     def solve(held: dict[int, dict[int, np.ndarray]]):
@@ -295,11 +376,15 @@ def near_components(df: DataFrame, *, block: int = BLOCK) -> DataFrame:
     full = rows.where("key is not null")
     keys = full.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // 20_000)
-    own = _own_counts(texts, parts)
-    alive = durable(keys.join(own, "key", "left").where(f"{DENOMINATOR} * coalesce(own, 0) <= {DENOMINATOR - NUMERATOR} * n").select("key", "rep", "n"))
-    blocks = components(_shared_edges(texts, alive, parts))
+    few = f"{DENOMINATOR} * coalesce(own, 0) <= {DENOMINATOR - NUMERATOR} * n"
+    own, _ = _count(_sampled(texts, parts), parts)
+    alive = durable(keys.join(own, "key", "left").where(few).select("key", "rep", "n"))
+    sets = durable(_sets_of(texts, alive))
+    own, level = _count(_all_shingles(sets, parts), parts, levels=True)
+    alive = durable(alive.join(own, "key", "left").where(few).select("key", "rep", "n"))
+    blocks = components(_shared_edges(sets, alive, level, parts))
     in_blocks = alive.join(blocks.withColumnRenamed("u", "key"), "key", "left").select("key", "rep", "n", F.coalesce("v", "key").alias("comp"))
-    links = components(_links(texts, in_blocks, block, parts))
+    links = components(_links(sets, in_blocks, block, parts))
     rooted = keys.join(links.withColumnRenamed("u", "key"), "key", "left").select("key", "rep", F.coalesce("v", "key").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_key = rooted.join(least, "root").select("key", "component_id")

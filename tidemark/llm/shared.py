@@ -124,7 +124,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-_STEP = [np.uint64(pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) | 1) for i in range(64)]
+_STEPS = np.array([pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) for i in range(64)], np.uint64)
 
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray, words: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -141,15 +141,14 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, words: int = SHINGLE_W
     h = span_hash(prefix_hash(data), starts, ends)
     full = np.zeros(max(0, len(h) - words + 1), np.uint64)
     for i in range(words):
-        full += h[i : i + len(full)] * _STEP[i]
+        full += h[i : i + len(full)] * _STEPS[i]
     full = mix(full)
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a >= words:
             out.append(np.unique(full[a : b - words + 1]))
         elif b > a:
-            seed = np.uint64(b - a)
-            out.append(mix(np.atleast_1d(sum((h[a + i] * _STEP[i] for i in range(b - a)), seed))))
+            out.append(mix(np.add.reduce(h[a:b] * _STEPS[: b - a], keepdims=True) + np.uint64(b - a)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
