@@ -91,3 +91,43 @@ def is_kind(error: BaseException, kind: type) -> bool:
         seen.add(id(e))
         e = e.__cause__ or e.__context__
     return False
+
+
+def data_type(name: str):
+    """Spark type of a simple name; needs no session, so data sources can use it."""
+    from pyspark.sql import types as T
+
+    plain = {
+        "boolean": T.BooleanType, "tinyint": T.ByteType, "smallint": T.ShortType, "int": T.IntegerType, "integer": T.IntegerType, "bigint": T.LongType,
+        "float": T.FloatType, "double": T.DoubleType, "string": T.StringType, "binary": T.BinaryType, "date": T.DateType,
+        "timestamp": T.TimestampType, "timestamp_ntz": T.TimestampNTZType,
+    }
+    t = _clean(name)
+    if d := _decimal(t):
+        return T.DecimalType(*d)
+    if t not in plain:
+        raise UnmappedType(f"no Spark type is called {name!r}")
+    return plain[t]()
+
+
+def columns_of(ddl: str) -> list[tuple[str, str]]:
+    """(name, type) of a column list; names may be quoted with backticks, and commas inside brackets don't divide."""
+    out, depth, quoted, part = [], 0, False, ""
+    for ch in ddl + ",":
+        quoted ^= ch == "`"
+        depth += (ch == "(") - (ch == ")") if not quoted else 0
+        if ch == "," and not depth and not quoted:
+            m = re.fullmatch(r"\s*(?:`((?:[^`]|``)+)`|(\w+))\s+(.+?)\s*", part)
+            if not m:
+                raise ValueError(f"not a column: {part.strip()!r}")
+            out.append(((m[1] or m[2]).replace("``", "`"), m[3]))
+            part = ""
+        else:
+            part += ch
+    return out
+
+
+def struct_of(ddl: str):
+    from pyspark.sql import types as T
+
+    return T.StructType([T.StructField(n, data_type(t)) for n, t in columns_of(ddl)])
