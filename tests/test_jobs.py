@@ -162,3 +162,54 @@ def test_versions_conflicts_and_columns(spark, tmp_path):
     with pytest.raises(Exception, match="does not hold"):
         t.append(spark.createDataFrame([("z",)], "k string"))
     assert t.history().count() == 2 and t.last_txn("x") == 1
+
+
+def test_migrations(spark, tmp_path, monkeypatch):
+    from tidemark.sources import migrations
+
+    t = VersionedTable(spark, str(tmp_path / "control")).create("table_name string, finalized_until timestamp_ntz")
+    assert migrations.migrate(t, "control") == 2 and "snapshot_wave" in t.schema().names and migrations.migrate(t, "control") == 0
+    monkeypatch.setitem(migrations.STEPS, "control", (*migrations.STEPS["control"], migrations.Step(3, "x int", breaking=True)))
+    assert migrations.migrate(t, "control") == 1
+    monkeypatch.undo()
+    with pytest.raises(migrations.TooNew):
+        migrations.migrate(t, "control")
+
+
+def test_tracker_and_freshness(spark, db):
+    store, tables, checkpoint = db
+    fill(store)
+    q = jobs.stream(spark, store, "orders", tables, checkpoint, "a")
+    tracker = finality.Tracker(spark, tables.control, "t", str(q.id))
+    q.awaitTermination()
+    from tidemark.streaming.jobs import checkpoint_of, committed_offset
+
+    assert committed_offset(checkpoint_of(checkpoint, 0))["lsn"] == store.newest()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+    tracker.close()
+    assert finality.finalized_until(spark, tables.control, "t") in (None, datetime(2026, 1, 1, 13))
+    finality.advance(spark, tables.control, "t", {"lsn": store.newest(), "commit_ts": "2026-01-01 15:10:00"})
+    assert finality.advance(spark, tables.control, "t", {"lsn": store.newest(), "commit_ts": "2026-01-01 12:10:00"}) == datetime(2026, 1, 1, 15)
+    row = finality.freshness(spark, tables.control, datetime(2026, 1, 1, 16)).first()
+    assert row["behind_seconds"] == 3600
+
+
+def test_capped_batches_and_skipped_loss(spark, tmp_path):
+    from tidemark.sources.feed import ChangeReader, Options, _schema, captured
+
+    store = CaptureStore(str(tmp_path / "db"))
+    store.add_table("orders", [("order_id", "int")], ["order_id"], "i")
+    for i in range(10):
+        store.commit(START + timedelta(seconds=i), "orders", [("insert", {"order_id": 3 * i + j}) for j in range(3)])
+    options = Options({"path": store.path, "table": "orders", "maxCommits": "4"})
+    columns = captured(store, options)
+    reader = ChangeReader(options, columns, _schema(columns, True))
+    at, sizes = reader.initialOffset(), []
+    while (end := reader.latestOffset()) != at:
+        sizes.append(sum(b.num_rows for p in reader.partitions(at, end) for b in reader.read(p)))
+        at = end
+    assert sizes == [12, 12, 6]
+    store.cleanup("i", lsn.after(store.newest()))
+    reader = ChangeReader(Options(options | {"failOnDataLoss": "false"}), columns, _schema(columns, True))
+    parts = reader.partitions({"lsn": lsn.ZERO}, {"lsn": store.newest()})
+    assert [e["event"] for e in parts[-1].events] == ["data_skipped"] and sum(b.num_rows for p in parts for b in reader.read(p)) == 0

@@ -585,3 +585,109 @@ def j1_current_state(spark, d):
 @query(f"SELECT DISTINCT user_id FROM log WHERE _start_lsn > '{B_}'")
 def j3_moved_keys(spark, d):
     return changelog.changes_after(T.changes(spark, d), B_).select("user_id").distinct()
+
+
+# More of A to H
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def a19_present_columns(spark, d):
+    """Of wanted columns, those that the table has and that aren't computed."""
+    nation = T.table(spark, d, "nation")
+    have, computed = {c.lower() for c in nation.columns}, {"n_regionkey"}
+    return nation.select(*[c for c in ("n_nationkey", "N_NAME", "n_regionkey", "n_gone") if c.lower() in have - computed]).withColumnRenamed("N_NAME", "n_name")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey BETWEEN 500 AND 900 AND o_orderkey % 2 = 0")
+def b20_literal_span(spark, d):
+    """A semi join behind the span of its keys as literals, which the scan can prune by."""
+    some = T.table(spark, d, "orders").where("o_orderkey between 500 and 900 and o_orderkey % 2 = 0").select("o_orderkey")
+    lo, hi = some.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    o = T.table(spark, d, "orders").where(F.col("o_orderkey").between(F.lit(lo), F.lit(hi)))
+    return current.semi(o, some, ["o_orderkey"]).select("o_orderkey", "o_totalprice")
+
+
+@query("SELECT s.c_name, t.c_acctbal AS other FROM customer s LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) t ON s.c_name = t.c_name WHERE s.c_nationkey = 3")
+def c6_source_side(spark, d):
+    """Rows of the source side with what the other has, for keys without an order."""
+    s = T.table(spark, d, "customer").where("c_nationkey = 3").select("c_name")
+    t = T.table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_name").alias("k"), F.col("c_acctbal").alias("other"))
+    return s.join(t, F.col("c_name").eqNullSafe(F.col("k")), "left").select("c_name", "other")
+
+
+@query("SELECT b.bucket, b.rows, l.label FROM (SELECT o_orderkey // 512 AS bucket, count(*) AS rows FROM orders GROUP BY 1) b LEFT JOIN (VALUES (0, 'first'), (3, 'fourth')) l(bucket, label) ON b.bucket = l.bucket")
+def c9_bucket_labels(spark, d):
+    labels = spark.createDataFrame([(0, "first"), (3, "fourth")], "bucket bigint, label string")
+    return audit.buckets(T.table(spark, d, "orders"), "o_orderkey", "int", 512).select("bucket", "rows").join(F.broadcast(labels), "bucket", "left")  # two rows
+
+
+@query(f"SELECT {_MEASURES} FROM log")
+def d2_observed_facts(spark, d):
+    """The facts of a batch, measured while its rows pass."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    names = ("rows", "min_lsn", "max_lsn", "min_commit_ts", "max_commit_ts", "deletes", "inserts", "updates")
+    measured = [c.cast("string").alias(n) if n.endswith("_ts") else c for c, n in zip(facts.measures(), names, strict=True)]
+    T.log(spark, d).observe(seen, *measured).write.format("noop").mode("overwrite").save()
+    got = seen.get
+    rows = spark.createDataFrame([tuple(got[n] for n in names)], "rows bigint, min_lsn string, max_lsn string, a string, b string, deletes bigint, inserts bigint, updates bigint")
+    return rows.select("rows", "min_lsn", "max_lsn", F.to_timestamp_ntz("a").alias("min_commit_ts"), F.to_timestamp_ntz("b").alias("max_commit_ts"), "deletes", "inserts", "updates")
+
+
+@query(f"SELECT _chunk, count(*) AS rows FROM ({_BRONZE}) WHERE _chunk IS NOT NULL GROUP BY 1")
+def d14_rows_per_chunk(spark, d):
+    return changelog.snapshot_rows(_bronze(spark, d), chunked=True).groupBy("_chunk").agg(F.count("*").alias("rows"))
+
+
+@query("SELECT count(*) AS rows, count(o_custkey) AS keyed FROM orders")
+def d21_whole_count(spark, d):
+    return T.table(spark, d, "orders").agg(F.count("*").alias("rows"), F.count("o_custkey").alias("keyed"))
+
+
+@query(f"SELECT batch_id, rows FROM ({_FACTS}) WHERE event IS NULL AND app_id = 'odd' ORDER BY batch_id DESC LIMIT 1")
+def f6_newest_facts(spark, d):
+    f = _facts(spark, d).where("event is null and app_id = 'odd'")
+    return f.agg(F.max("batch_id").alias("batch_id"), F.max_by("rows", "batch_id").alias("rows"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey < 100 OR (o_orderkey >= 200 AND o_orderkey < 300)")
+def g3_seek_pieces(spark, d):
+    o = T.table(spark, d, "orders").select("o_orderkey")
+    return o.where(keys.in_range(["o_orderkey"], None, (100,))).unionByName(o.where(keys.in_range(["o_orderkey"], (200,), (300,))))
+
+
+@query(None)
+def g4_report_union(spark, d):
+    """A reconcile report: bucket rows, then key rows."""
+    s, t = T.source_orders(spark, d), T.faulty_orders(spark, d)
+    found = audit.compare_buckets(*[audit.buckets(x, "o_orderkey", "int", 512) for x in (s, t)])
+    rows = audit.row_differences(s, t, ["o_orderkey"], _COLS)
+    return found.select("bucket", "status").unionByName(rows.select("key", "failure_type"), allowMissingColumns=True)
+
+
+ORACLES["g4_report_union"] = f"WITH {T.FAULTY}, {_BUCKETS} SELECT bucket, CASE WHEN source_rows = target_rows AND source_sum = target_sum THEN 'MATCH' ELSE 'MISMATCH' END AS status, NULL AS key, NULL AS failure_type FROM c UNION ALL SELECT NULL, NULL, key, failure_type FROM ({_DIFF})"
+
+
+@query("SELECT DISTINCT user_id FROM (SELECT user_id FROM log WHERE _start_lsn > '" + B_ + "' UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey < 20)")
+def g5_held_and_unread_keys(spark, d):
+    held = changelog.changes_after(T.changes(spark, d), B_).select("user_id")
+    unread = T.table(spark, d, "orders").where("o_orderkey < 20").select(F.col("o_orderkey").alias("user_id"))
+    return held.unionByName(unread).distinct()
+
+
+@query("SELECT event_id, ts - INTERVAL 2 HOUR AS utc FROM events WHERE event_id % 10 = 3")
+def h15_to_utc(spark, d):
+    return T.table(spark, d, "events").where("event_id % 10 = 3").select("event_id", clock.to_utc(F.col("ts"), "+02:00").alias("utc"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus IS DISTINCT FROM x THEN 'o_orderstatus' ELSE '' END AS detail FROM (SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS x FROM orders)")
+def h11_differing_columns(spark, d):
+    o = T.table(spark, d, "orders")
+    a, b = F.struct("o_orderkey", "o_orderstatus"), F.struct("o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderstatus")).alias("o_orderstatus"))
+    return o.select("o_orderkey", a.alias("a"), b.alias("b")).select("o_orderkey", keys.differing(["o_orderkey", "o_orderstatus"], "a", "b").alias("detail"))
+
+
+@query("SELECT user_id, strftime(max(_commit_ts), '%Y-%m-%d %H:%M:%S') AS newest FROM log GROUP BY 1")
+def h25_iso_times(spark, d):
+    return T.log(spark, d).groupBy("user_id").agg(F.date_format(F.max("_commit_ts"), "yyyy-MM-dd HH:mm:ss").alias("newest"))
