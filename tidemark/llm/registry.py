@@ -17,5 +17,7 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
 }
 ORACLES: dict[str, str] = {
+    "op1_secret_scan": secrets.oracle(),
+    "op4_ngram_join": ngram_join.SQL,
     "op6_url_filter": urlfilter.OP6_SQL,
 }

@@ -49,8 +49,9 @@ def labelled_samples(spark: SparkSession, n: int = 4000) -> DataFrame:
     base64 = F.regexp_replace(F.base64(F.unhex(digest)), "=", "")
     random = F.when(i % 4 == 0, F.substring(digest, 1, 40)).when(i % 4 == 1, base64).when(i % 4 == 2, F.regexp_replace(base64, "[+/]", "")).otherwise(F.upper(F.regexp_replace(base64, "[+/]", "")))
     stems = F.array(*map(F.lit, STEMS))
-    part = [F.element_at(stems, (F.pmod(F.xxhash64(i, F.lit(k)), F.lit(len(STEMS))) + 1).cast("int")) for k in range(4)]
-    number = F.pmod(F.xxhash64(i), F.lit(2100)).cast("string")
+    draw = lambda k, n: F.conv(F.substring(F.sha2(F.concat_ws("-", i.cast("string"), F.lit(k)), 256), 1, 8), 16, 10).cast("long") % n
+    part = [F.element_at(stems, (draw(k, len(STEMS)) + 1).cast("int")) for k in range(4)]
+    number = draw(4, 2100).cast("string")
     plain = (
         F.when(i % 6 == 0, F.concat_ws("_", *part))
         .when(i % 6 == 1, F.concat_ws("-", *part[:3], number))
@@ -170,3 +171,43 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_joined(F.col("b")).cast("binary"), 256).alias("base_sha256"),
         _joined(F.col("secret_spans")).alias("spans"),
     )
+
+
+def oracle(n: int = 4000, least_per_char: int = 350, least: int = 12000) -> str:
+    """The same in SQL, training included."""
+    q = lambda x: "'" + x.replace("'", "''") + "'"
+    stems = "[" + ", ".join(map(q, STEMS)) + "]"
+    draw = lambda k, m: f"(('0x' || substr(sha256(i || '-{k}'), 1, 8))::BIGINT % {m})"
+    p = [f"({stems})[1 + {draw(k, len(STEMS))}]" for k in range(4)]
+    title = lambda x: f"upper(substr({x}, 1, 1)) || substr({x}, 2)"
+    number = f"{draw(4, 2100)}::VARCHAR"
+    joined = "p0 || '_' || p1 || '_' || p2 || '_' || p3"
+    kinds = " UNION ALL ".join(
+        f"SELECT doc_id, {k} AS k, generate_subscripts(m, 1) AS i, unnest(m) AS m, unnest(g) AS g FROM (SELECT doc_id, regexp_extract_all(t, {q(x)}) AS m, list_slice(string_split_regex(t, {q(x)}), 1, len(regexp_extract_all(t, {q(x)}))) AS g FROM docs)"
+        for k, x in enumerate((ASSIGN, ACCESS, HEX, CANDIDATE))
+    )
+    text = lambda some: f"coalesce(string_agg(['assign', 'access', 'hex', 'model'][k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k, e){some}, '')"
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+ids AS (SELECT i, sha256('sample' || i) AS h, replace(to_base64(unhex(sha256('sample' || i))), '=', '') AS b, {p[0]} AS p0, {p[1]} AS p1, {p[2]} AS p2, {p[3]} AS p3, {number} AS num FROM range({n}) r(i)),
+samples AS (
+  SELECT true AS random, CASE i % 4 WHEN 0 THEN substr(h, 1, 40) WHEN 1 THEN b WHEN 2 THEN regexp_replace(b, '[+/]', '', 'g') ELSE upper(regexp_replace(b, '[+/]', '', 'g')) END AS s FROM ids
+  UNION ALL SELECT false, CASE i % 6 WHEN 0 THEN {joined} WHEN 1 THEN p0 || '-' || p1 || '-' || p2 || '-' || num WHEN 2 THEN p0 || {title("p1")} || {title("p2")} || {title("p3")}
+    WHEN 3 THEN upper({joined}) WHEN 4 THEN p0 || '/' || p1 || '/' || p2 || '/' || num ELSE p0 || p1 || p2 || p3 END FROM ids),
+coded AS (SELECT random, translate(s, {q(_FROM)}, {q(_TO)}) AS s FROM samples),
+pairs AS (SELECT random, substr(s, p, 2) AS pair, count(*) AS n FROM (SELECT random, s, unnest(range(1, length(s))) AS p FROM coded) GROUP BY ALL),
+chars AS (SELECT unnest(string_split({q(_CLASSES)}, '')) AS c),
+smooth AS (SELECT r.random, a.c AS a, a.c || b.c AS pair, coalesce(n, 0) + 0.5::DOUBLE AS n FROM (VALUES (true), (false)) r(random), chars a, chars b LEFT JOIN pairs x ON x.random = r.random AND x.pair = a.c || b.c),
+logs AS (SELECT random, pair, ln(n / sum(n) OVER (PARTITION BY random, a)) AS l FROM smooth),
+ratios AS (SELECT pair, round({SCALE} * (max(l) FILTER (random) - max(l) FILTER (NOT random)))::INT AS v FROM logs GROUP BY pair),
+found AS ({kinds}),
+placed AS (SELECT doc_id, k, i, m, (sum(length(g) + length(m)) OVER (PARTITION BY doc_id, k ORDER BY i))::INT AS e FROM found),
+spans AS (SELECT doc_id, k, m, e - length(m) AS s, e FROM placed),
+base AS (SELECT * FROM spans WHERE k IN (1, 2) OR (k = 0 AND length(regexp_extract(m, {q(ASSIGN)}, 2)) >= 8)),
+maybe AS (SELECT * FROM spans x WHERE k = 3 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.s < x.e AND x.s < b.e)),
+scored AS (SELECT doc_id, k, m, s, e, sum(coalesce(v, 0)) AS v FROM (SELECT *, unnest(range(1, length(m))) AS p FROM maybe) x LEFT JOIN ratios ON pair = substr(translate(m, {q(_FROM)}, {q(_TO)}), p, 2) GROUP BY ALL),
+every AS (SELECT doc_id, k, s, e FROM base UNION ALL SELECT doc_id, k, s, e FROM scored WHERE v >= greatest({least}, {least_per_char} * length(m)))
+SELECT d.doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+  sha256({text(" FILTER (k < 3)")}) AS base_sha256, {text("")} AS spans
+FROM docs d LEFT JOIN every e ON e.doc_id = d.doc_id GROUP BY d.doc_id
+"""
