@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -89,9 +90,15 @@ def fingerprint(df: DataFrame, *, text: str = "text", k: int = K) -> DataFrame:
     return out.mapInArrow(run, fields)
 
 
-def with_successor(df: DataFrame, key: str, value: str) -> DataFrame:
+#: Rows that leave ``with_successor`` at a time.
+MET_AT_ONCE = 256
+
+
+def with_successor(df: DataFrame, key: str, value: str, then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, schema: str | None = None) -> DataFrame:
     """key, value and next_value: the value of the row with the next larger key (the smallest, after the largest).
 
+    ``then`` (with its result's ``schema``) is applied to MET_AT_ONCE rows at a time where they meet.
+
     Rows are dealt by ranges of the key, bounded by approximate quantiles, so each is shuffled once;
     the first row of a range also goes to the range before it. Null keys come first; rows of one key
     are ordered by value, null as empty.
@@ -135,18 +142,20 @@ def with_successor(df: DataFrame, key: str, value: str) -> DataFrame:
     def meet(batches):
         held = None
         for batch in batches:
-            out = []
-            for k, v, r, extra in zip(*(batch.column(c).to_pylist() for c in (key, "v", "r", "extra")), strict=True):
-                if held and held[2] == r and not held[3]:
-                    out.append((held[0], held[1], v))
-                held = (k, v, r, extra)
-            if out:
-                a, b, c = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.string()), pa.array(c, pa.string())], names=[key, value, "next_value"])
+            for at in range(0, batch.num_rows, MET_AT_ONCE):
+                part, out = batch.slice(at, MET_AT_ONCE), []
+                for k, v, r, extra in zip(*(part.column(c).to_pylist() for c in (key, "v", "r", "extra")), strict=True):
+                    if held and held[2] == r and not held[3]:
+                        out.append((held[0], held[1], v))
+                    held = (k, v, r, extra)
+                if out:
+                    a, b, c = zip(*out, strict=True)
+                    met = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.string()), pa.array(c, pa.string())], names=[key, value, "next_value"])
+                    yield then(met) if then else met
 
     dealt = rows.mapInArrow(deal, f"k long, {key} long, v string, r long, extra int")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges // 4)
-    return dealt.repartition(parts, "r").sortWithinPartitions("r", "extra", "k", "v").mapInArrow(meet, f"{key} long, {value} string, next_value string")
+    return dealt.repartition(parts, "r").sortWithinPartitions("r", "extra", "k", "v").mapInArrow(meet, schema or f"{key} long, {value} string, next_value string")
 
 
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,26 +163,23 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Repeated doc_ids are rows of their own. An empty table gives no rows.
     """
-    pairs = with_successor(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", "text")
 
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                texts, after = part.column("text").to_pylist(), part.column("next_value").to_pylist()
-                edited = [t[: len(t) - len(t) // 2] + x[: len(t) // 2] for t, x in zip(texts, after, strict=True)]
-                own, other, following = sketches(texts), sketches(edited), sketches(after)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array([len(t) for t in texts], pa.int64()),
-                        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
-                        pa.array([to_text(s) for s in own], pa.string()),
-                        pa.array([to_text(s) for s in other], pa.string()),
-                        pa.array([resemblance(a, b) for a, b in zip(own, other, strict=True)], pa.float64()),
-                        pa.array([resemblance(a, b) for a, b in zip(own, following, strict=True)], pa.float64()),
-                    ],
-                    names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
-                )
-
-    return pairs.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    def compare(part: pa.RecordBatch) -> pa.RecordBatch:
+        texts, after = part.column("text").to_pylist(), part.column("next_value").to_pylist()
+        edited = [t[: len(t) - len(t) // 2] + x[: len(t) // 2] for t, x in zip(texts, after, strict=True)]
+        own, other, following = sketches(texts), sketches(edited), sketches(after)
+        return pa.RecordBatch.from_arrays(
+            [
+                part.column("doc_id"),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
+                pa.array([to_text(s) for s in own], pa.string()),
+                pa.array([to_text(s) for s in other], pa.string()),
+                pa.array([resemblance(a, b) for a, b in zip(own, other, strict=True)], pa.float64()),
+                pa.array([resemblance(a, b) for a, b in zip(own, following, strict=True)], pa.float64()),
+            ],
+            names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+        )
+
+    columns = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    return with_successor(documents(spark, sf_dir).select("doc_id", "text"), "doc_id", "text", compare, columns)
