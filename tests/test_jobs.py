@@ -213,3 +213,23 @@ def test_capped_batches_and_skipped_loss(spark, tmp_path):
     reader = ChangeReader(Options(options | {"failOnDataLoss": "false"}), columns, _schema(columns, True))
     parts = reader.partitions({"lsn": lsn.ZERO}, {"lsn": store.newest()})
     assert [e["event"] for e in parts[-1].events] == ["data_skipped"] and sum(b.num_rows for p in parts for b in reader.read(p)) == 0
+
+
+def test_file_log_batches_end_on_commits(spark, tmp_path):
+    from tidemark.sources import filelog
+
+    rows = [(lsn.from_int(16 * i), j, lsn.from_int(16 * i + j), 2, 10 * i + j) for i in range(10) for j in range(3)]
+    log = spark.createDataFrame(rows, "_start_lsn string, _command_id int, _seqval string, _operation int, k int")
+    filelog.write_groups(log, str(tmp_path / "log"), 4)
+    seen = []
+    stream = filelog.read_groups(spark, str(tmp_path / "log"), log.schema)
+    q = stream.writeStream.foreachBatch(lambda df, i: seen.append(sorted({r["_start_lsn"] for r in df.collect()}))).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(map(len, seen)) == [2, 4, 4] and sorted(x for s in seen for x in s) == sorted({r[0] for r in rows})
+
+
+def test_errors_by_kind():
+    from tidemark import api
+
+    assert api.is_data_loss(api.DataLoss("x")) and not api.is_schema_changed(api.DataLoss("x"))
+    assert api.is_schema_changed(RuntimeError("Spark says tidemark.functions.types.SchemaChanged: y"))

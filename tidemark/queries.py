@@ -564,7 +564,13 @@ def i12_verdict_by_batch(spark, d):
     return f.withColumn("verdict", F.max("candidate").over(Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)))  # a row a batch
 
 
-@query(None)
+@query("""WITH RECURSIVE e AS (SELECT min(o_custkey) AS lo, max(o_custkey) AS hi, count(*) AS n FROM orders),
+  w AS (SELECT lo, greatest(1, ceil((hi - lo + 1) / least(100000, greatest(1, ceil(16.0 * n / 2000)))))::BIGINT AS w FROM e),
+  s AS (SELECT row_number() OVER (ORDER BY sl) AS i, a, c FROM (SELECT (o_custkey - lo) // w AS sl, min(o_custkey) AS a, count(*) AS c FROM orders, w GROUP BY 1)),
+  g AS (SELECT i, a, c, 0 AS chunk, c AS run FROM s WHERE i = 1 UNION ALL
+    SELECT s.i, s.a, s.c, CASE WHEN g.run + s.c <= 2000 THEN g.chunk ELSE g.chunk + 1 END, CASE WHEN g.run + s.c <= 2000 THEN g.run + s.c ELSE s.c END FROM g JOIN s ON s.i = g.i + 1),
+  c AS (SELECT chunk, min(a) AS a, sum(c) AS n FROM g GROUP BY chunk)
+  SELECT chunk, CASE WHEN chunk > 0 THEN a END AS lo, coalesce(lead(a) OVER (ORDER BY chunk), (SELECT hi + 1 FROM e)) AS hi, n::BIGINT AS rows FROM c""")
 def i20_integer_chunks(spark, d):
     o = T.table(spark, d, "orders")
     lo, hi, n = o.agg(F.min("o_custkey"), F.max("o_custkey"), F.count("*")).first()
