@@ -86,8 +86,8 @@ def train(docs: DataFrame, labelled: DataFrame, *, domain: str = "lang", most: i
     return Softmax(names).fit(x[order], np.array([names.index(y[i]) for i in order], np.int64))
 
 
-def with_posteriors(df: DataFrame, model: Softmax) -> DataFrame:
-    """Add n_tokens and posterior (array, in the order of model.domains); columns of these names are replaced."""
+def with_posteriors(df: DataFrame, model: Softmax, *, keep: bool = True) -> DataFrame:
+    """Add n_tokens and posterior (array, in the order of model.domains); columns of these names are replaced. Without ``keep`` only these two leave the worker."""
     out = df.drop("n_tokens", "posterior")
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -100,9 +100,10 @@ def with_posteriors(df: DataFrame, model: Softmax) -> DataFrame:
                 found.append(shared.value.posterior(x))
             p = np.concatenate(found).astype(np.float64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(tokens), pa.int64()), lists], names=[*batch.schema.names, "n_tokens", "posterior"])
+            held = batch.schema.names if keep else []
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in held], pa.array(np.concatenate(tokens), pa.int64()), lists], names=[*held, "n_tokens", "posterior"])
 
-    return out.mapInArrow(run, with_fields(out, n_tokens="long", posterior="array<double>"))
+    return out.mapInArrow(run, with_fields(out, n_tokens="long", posterior="array<double>") if keep else "n_tokens long, posterior array<double>")
 
 
 def targets_of(domains: list[str], targets: dict[str, float], have: np.ndarray) -> np.ndarray:
@@ -156,7 +157,7 @@ def mixed(docs: DataFrame, labelled: DataFrame, *, domain: str = "lang", targets
     """
     model = train(docs, labelled, domain=domain)
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    rows = durable(with_posteriors(texts, model).select("n_tokens", "posterior"))
+    rows = durable(with_posteriors(texts, model, keep=False))
     steps, _, _ = fit_rates(rows, model.domains, targets, budget=budget, least=least)
     names = F.array(*map(F.lit, model.domains))
     out = with_posteriors(docs, model).withColumn("rate", _rate(steps, least))

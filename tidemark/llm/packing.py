@@ -101,6 +101,11 @@ class Encoder:
         young.update((w, self.line_end + i) for w, i in zip(lines, self._words([w[1:] for w in lines], ""), strict=True))
         return young
 
+    def forget(self) -> None:
+        """Let the older generations go: a worker that waits for other work should hold little."""
+        for generations in self.caches.values():
+            generations[1] = {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = [bool(_RUN.search(t) or _SPECIAL.search(t)) for t in texts]
         split = [[] if w else t.replace("\n", " \n").split(" ") for t, w in zip(texts, whole, strict=True)]
@@ -146,6 +151,7 @@ def pieces(df: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
                 cols = list(zip(*rows, strict=True))
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
+        enc.forget()
 
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"

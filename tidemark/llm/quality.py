@@ -112,7 +112,8 @@ class GatedAttention:
             self.p["b"][:] = np.log(share / (1 - share))
             return self
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-2
-        x = (x - self.mean) / self.scale
+        x = np.subtract(x, self.mean)
+        x /= self.scale
         starts, owner = np.cumsum(count) - count, np.repeat(np.arange(len(count)), count)
         p, m, v = self.p, {k: np.zeros_like(w) for k, w in self.p.items()}, {k: np.zeros_like(w) for k, w in self.p.items()}
         y = label.astype(np.float32)
@@ -148,14 +149,16 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", most: i
             for at, data, offsets in text_chunks(batch.column("text")):
                 x, count = encode(data, offsets)
                 rows = np.split(x, np.cumsum(count)[:-1])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(count)), y.slice(at, len(count)), pa.array([r.astype("<f4").tobytes() for r in rows], pa.binary())], names=["doc_id", "y", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(count)), y.slice(at, len(count)), pa.array([r.astype("<f2").tobytes() for r in rows], pa.binary())], names=["doc_id", "y", "x"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     got = texts.join(F.broadcast(some), "doc_id").mapInArrow(run, "doc_id long, y int, x binary").toArrow().sort_by("doc_id")  # at most ``most`` rows are broadcast
-    bags = [np.frombuffer(b, "<f4").reshape(-1, WIDTH) for b in got.column("x").to_pylist()]
-    if not bags:
-        return GatedAttention().fit(np.zeros((0, WIDTH), np.float32), np.zeros(0, np.int64), np.zeros(0))
-    return GatedAttention().fit(np.concatenate(bags), np.array([len(b) for b in bags]), got.column("y").to_numpy())
+    y, raw = got.column("y").to_numpy(), got.column("x").to_pylist()
+    del got
+    count = np.array([len(b) // (2 * WIDTH) for b in raw], np.int64)
+    x = np.frombuffer(b"".join(raw), "<f2").reshape(-1, WIDTH).astype(np.float32)  # half precision on the way
+    del raw
+    return GatedAttention().fit(x, count, y)
 
 
 def score(df: DataFrame, model: GatedAttention, *, text: str = "text") -> DataFrame:
