@@ -86,6 +86,19 @@ def test_lm_probabilities_sum_to_one_and_learn():
     assert (pairs * table).sum() > (pairs * uni).sum()
 
 
+@pytest.mark.parametrize("frequent", [lm.FREQUENT, 300])
+def test_lm_tells_rare_words_apart(spark, frequent):
+    """Words beyond any fixed number have vectors of their own, broadcast or not: their order counts."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{(a + i) % 3000}" for i in range(30)) for a in (rng.randrange(3000) for _ in range(9000))]
+    train = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id bigint, text string, held_out boolean").repartition(3, "doc_id")
+    runs = [" ".join(f"w{a + i}" for i in range(20)) for a in range(0, 2900, 100)]
+    asked = spark.createDataFrame([(2 * i + k, " ".join(t.split()[:: 1 - 2 * k]), True) for i, t in enumerate(runs) for k in (0, 1)], "doc_id bigint, text string, held_out boolean")
+    got = {r["doc_id"]: r["score"] for r in lm.score(asked, train, frequent=frequent).collect()}
+    gain = [got[2 * i] - got[2 * i + 1] for i in range(len(runs))]
+    assert np.median(gain) > 0.5 and np.mean(np.array(gain) > 0.05) > 0.8, sorted(gain)
+
+
 # 3
 
 
