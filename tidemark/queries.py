@@ -516,8 +516,9 @@ def g6_distinct_keys(spark, d):
 
 @query("SELECT event_id, '0x' || lpad(upper(hex), 20, '0') AS canonical, '0x' || lpad(upper(to_hex(n)), 20, '0') AS round_trip, '0x' || lpad(upper(to_hex(n + 1)), 20, '0') AS next, '0x' || lpad(upper(to_hex(greatest(n - 1, 0))), 20, '0') AS previous FROM (SELECT event_id, event_id * 1099511627776 + 7 * event_id AS n, to_hex(event_id * 1099511627776 + 7 * event_id) AS hex FROM events WHERE event_id < 5000000)")
 def h1_position_arithmetic(spark, d):
-    n = F.col("event_id") * 1099511627776 + F.col("event_id") * 7
-    e = T.table(spark, d, "events").where("event_id < 5000000").select("event_id", lsn.normalized(F.lower(F.hex(n))).alias("canonical"))
+    n = F.col("event_id").cast("decimal(20,0)") * F.lit(1099511627776 + 7).cast("decimal(18,0)")  # over 64 bits from some 8 million on
+    digits = F.regexp_replace(F.lower(lsn.from_number(n)), "^0x0*(?=.)", "")
+    e = T.table(spark, d, "events").select("event_id", lsn.normalized(digits).alias("canonical"))
     c = F.col("canonical")
     return e.select("event_id", "canonical", lsn.from_number(lsn.as_number(c)).alias("round_trip"), lsn.shifted(c, 1).alias("next"), lsn.shifted(c, -1).alias("previous"))
 
