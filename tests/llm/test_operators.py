@@ -389,3 +389,43 @@ def test_shared_pieces():
     for _, data, offsets in shared.text_chunks(col):
         s = shared.shingle_hashes(data, offsets)
     assert [len(x) for x in s] == [0, 2, 0, 1, 2] and (s[1] == s[4]).all()
+
+
+# Long texts
+
+
+def test_secrets_of_dense_texts_take_no_product_of_their_matches(spark, secret_table):
+    """20,000 base spans and 20,000 runs in a text of half a million characters, scanned and redacted."""
+    rng = random.Random(12)
+    draw = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(24))
+    text = " ".join(f"token={draw()} {draw()}" for _ in range(10_000))
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    got = secrets.scan(df, secret_table).cache()
+    spans = got.first()["secret_spans"]
+    base = [x for x in spans if x["k"] < 3]
+    assert ",".join(f"{brute.KINDS[x['k']]}:{x['s']}:{x['e']}" for x in base) == brute.secrets(text)[2]
+    assert len(base) == 10_000 and len(spans) > 19_000
+    clean = secrets.redact(got).first()["text"]
+    want, at = [], 0
+    for x in sorted((x["s"], x["e"]) for x in spans):
+        want += [text[at : x[0]], "[SECRET]"]
+        at = x[1]
+    assert clean == "".join(want) + text[at:]
+
+
+def test_hosts_of_very_many_labels(spark):
+    df = spark.createDataFrame([(1, "http://" + "a." * 500_000 + "net/x"), (2, "http://" + "." * 500_000 + "example.net/en/")], "page_id bigint, url string")
+    assert [r["rule"] for r in urlfilter.judge(df, urlfilter.RULES).orderBy("page_id").collect()] == ["net/", "example.net/en/"]
+
+
+def test_word_hashes_tell_words_apart():
+    from tidemark.llm import shared
+
+    words = [bytes([97 + i % 26]) * n for n in (1, 7, 8, 9, 16, 63, 64, 65, 500) for i in range(26)] + [b"ab" * 40, b"ba" * 40]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    s, e, _ = shared.word_spans(data, np.array([0, len(data)]))
+    h = shared.word_hash(data, s, e)
+    assert len(set(h.tolist())) == len(words)
+    moved = np.frombuffer(b"xyz " + b" ".join(words), np.uint8)
+    s, e, _ = shared.word_spans(moved, np.array([0, len(moved)]))
+    assert (shared.word_hash(moved, s, e)[1:] == h).all()

@@ -90,6 +90,11 @@ def fingerprint(df: DataFrame, *, text: str = "text", k: int = K) -> DataFrame:
     return out.mapInArrow(run, fields)
 
 
+def _dealt(r: np.ndarray, extra: int, to: np.ndarray) -> list[pa.Array]:
+    """Range, whether a row is a copy from the next range, and the value that is dealt by."""
+    return [pa.array(r, pa.int64()), pa.array(np.full(len(r), extra, np.int32)), pa.array(to[r % len(to)], pa.int64())]
+
+
 #: Rows that leave ``with_successor`` at a time.
 MET_AT_ONCE = 256
 
@@ -129,15 +134,22 @@ def with_successor(df: DataFrame, key: str, value: str, then: Callable[[pa.Recor
     before = {heads[r]: order[i - 1] for i, r in enumerate(order)}
     head_keys, head_to = np.array(sorted(before), np.int64), np.array([before[k] for k in sorted(before)], np.int64)
 
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges // 4)
+    # A value for each partition that Spark's hash deals there, so that ranges are dealt evenly and not by chance.
+    asked = spark.range(64 * parts).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("p")).groupBy("p").agg(F.min("id").alias("id"))
+    to = np.zeros(parts, np.int64)
+    for x in asked.collect():  # a row a partition
+        to[x["p"]] = x["id"]
+
     def deal(batches):
         for batch in batches:
             k = batch.column("k").to_numpy()
             at = np.minimum(np.searchsorted(head_keys, k), len(head_keys) - 1)
             copies = np.flatnonzero(head_keys[at] == k)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(range_of(batch.column("k")), pa.int64()), pa.array(np.zeros(len(k), np.int32))], names=[*batch.schema.names, "r", "extra"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *_dealt(range_of(batch.column("k")), 0, to)], names=[*batch.schema.names, "r", "extra", "d"])
             more = batch.take(pa.array(copies))
             if len(copies):
-                yield pa.RecordBatch.from_arrays([*more.columns, pa.array(head_to[at[copies]], pa.int64()), pa.array(np.ones(len(copies), np.int32))], names=[*batch.schema.names, "r", "extra"])
+                yield pa.RecordBatch.from_arrays([*more.columns, *_dealt(head_to[at[copies]], 1, to)], names=[*batch.schema.names, "r", "extra", "d"])
 
     def meet(batches):
         held = None
@@ -153,9 +165,8 @@ def with_successor(df: DataFrame, key: str, value: str, then: Callable[[pa.Recor
                     met = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.string()), pa.array(c, pa.string())], names=[key, value, "next_value"])
                     yield then(met) if then else met
 
-    dealt = rows.mapInArrow(deal, f"k long, {key} long, v string, r long, extra int")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges // 4)
-    return dealt.repartition(parts, "r").sortWithinPartitions("r", "extra", "k", "v").mapInArrow(meet, schema or f"{key} long, {value} string, next_value string")
+    dealt = rows.mapInArrow(deal, f"k long, {key} long, v string, r long, extra int, d long")
+    return dealt.repartition(parts, "d").sortWithinPartitions("r", "extra", "k", "v").mapInArrow(meet, schema or f"{key} long, {value} string, next_value string")
 
 
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

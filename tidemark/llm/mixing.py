@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import LOWER, documents, durable, prefix_hash, span_hash, text_chunks, with_fields, word_spans
+from .shared import LOWER, documents, durable, text_chunks, with_fields, word_hash, word_spans
 
 HASHED = 1024
 #: The most labelled documents that the classifier is fitted on, chosen by a hash of doc_id.
@@ -39,7 +39,7 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     n = len(offsets) - 1
     low = LOWER[data]
     starts, ends, owner = word_spans(low, offsets)
-    h = span_hash(prefix_hash(low), starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    h = word_hash(low, starts, ends)
     x = np.bincount(owner * HASHED + (h % np.uint64(HASHED)).astype(np.int64), minlength=n * HASHED).reshape(n, HASHED).astype(np.float32)
     x /= np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-9)
     return x, np.bincount(owner, minlength=n) + 1

@@ -12,7 +12,8 @@
    size, and every two slices whose sizes can link are joined by a task of their own.
 5. Links become components, and classes hand their component to their documents.
 
-Shingles are 64-bit hashes; all steps are exact on these.
+Shingles are 64-bit hashes, and classes hashes of their sets; all steps are exact on these. Two given
+shingles, or sets, share a hash with a chance of about 2^-64.
 """
 
 from __future__ import annotations
@@ -102,15 +103,16 @@ def _pack_batch(rows) -> pa.RecordBatch:
 
 
 def classes(df: DataFrame) -> DataFrame:
-    """doc_id, key (null for an empty set), n of every row."""
+    """doc_id, key (null for an empty set), n and h (a hash of the text) of every row."""
+    df = df.select("doc_id", "text", F.xxhash64("text").alias("h"))
 
     def run(batches):
         for batch in batches:
             found = [(class_of(s), len(s)) if len(s) else (None, 0) for _, s in _sets(batch)]
             k, n = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(k, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "key", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(k, pa.int64()), pa.array(n, pa.int64()), batch.column("h")], names=["doc_id", "key", "n", "h"])
 
-    return df.mapInArrow(run, "doc_id long, key long, n long")
+    return df.mapInArrow(run, "doc_id long, key long, n long, h long")
 
 
 def _count(packed: DataFrame, parts: int, levels: bool = False) -> tuple[DataFrame, np.ndarray]:
@@ -363,15 +365,13 @@ def _links(sets: DataFrame, keys: DataFrame, block: int, parts: int) -> DataFram
     return rows.repartition(parts, "comp", "a", "b").sortWithinPartitions("comp", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def near_components(df: DataFrame, *, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``df`` (doc_id, text; other columns are ignored).
+def _texts(df: DataFrame) -> DataFrame:
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    Null and empty texts, and those without words, have no shingles and are components of their own,
-    as are rows linked to nothing. A component's id is its smallest non-null doc_id. Repeated rows
-    are equal texts and so one component.
-    """
-    spark = df.sparkSession
-    texts = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+def _rooted(texts: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Every row's doc_id, key, n and h; and (key, rep, root) of every class: its smallest doc_id, and the least class of its component."""
+    spark = texts.sparkSession
     rows = durable(classes(texts))
     full = rows.where("key is not null")
     keys = full.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies"))
@@ -385,13 +385,52 @@ def near_components(df: DataFrame, *, block: int = BLOCK) -> DataFrame:
     blocks = components(_shared_edges(sets, alive, level, parts))
     in_blocks = alive.join(blocks.withColumnRenamed("u", "key"), "key", "left").select("key", "rep", "n", F.coalesce("v", "key").alias("comp"))
     links = components(_links(sets, in_blocks, block, parts))
-    rooted = keys.join(links.withColumnRenamed("u", "key"), "key", "left").select("key", "rep", F.coalesce("v", "key").alias("root"))
+    return rows, keys.join(links.withColumnRenamed("u", "key"), "key", "left").select("key", "rep", F.coalesce("v", "key").alias("root"))
+
+
+def near_components(df: DataFrame, *, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``df`` (doc_id, text; other columns are ignored).
+
+    Null and empty texts, and those without words, have no shingles and are components of their own,
+    as are rows linked to nothing. A component's id is its smallest non-null doc_id. Repeated rows
+    are equal texts and so one component.
+    """
+    rows, rooted = _rooted(_texts(df), block)
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_key = rooted.join(least, "root").select("key", "component_id")
-    joined = full.join(of_key, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    joined = rows.where("key is not null").join(of_key, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return joined.unionByName(rows.where("key is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
+def one_of_each(df: DataFrame, *, block: int = BLOCK) -> DataFrame:
+    """The rows of ``df`` (doc_id, text and any others) less near copies: of each component one row stays, that of its smallest non-null doc_id.
+
+    Rows are told apart by doc_id and text, so two different texts under one doc_id, or under none, are
+    judged apart; of rows equal in both, one stays. Rows without words are components of their own and
+    all stay. Only rows that may go (a bitmap of fixed size tells) are shuffled with their texts.
+    """
+    rows, rooted = _rooted(_texts(df), block)
+    known = rows.where("key is not null").join(rooted.select("key", "root"), "key").groupBy("root", "doc_id", "h").agg(F.count("*").alias("copies"))
+    first = known.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("k"))
+    stays = F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("h") == F.col("k.h"))
+    marked = durable(known.join(first, "root").select("doc_id", "h", "copies", stays.alias("_tm_stays")).where("not _tm_stays or copies > 1").select(F.col("doc_id").alias("_tm_id"), F.col("h").alias("_tm_hash"), "_tm_stays"))
+    bits = _filter(marked.select(F.col("_tm_hash").alias("key"), F.col("_tm_id").alias("rep")), by_document=True)
+    here = df.withColumns({"_tm_i": F.col("doc_id").cast("long"), "_tm_h": F.xxhash64(F.col("text").cast("string"))})
+
+    def split(wanted: bool):
+        def run(batches):
+            for batch in batches:
+                at = _place(batch.column("_tm_h").to_numpy(), batch.column("_tm_i").fill_null(0).to_numpy())
+                yield batch.filter(pa.array(_passes(bits.value, at) == wanted))
+
+        return here.mapInArrow(run, here.schema)
+
+    met = split(True).join(marked, F.col("_tm_i").eqNullSafe(F.col("_tm_id")) & (F.col("_tm_h") == F.col("_tm_hash")), "left")
+    met = durable(met.where("_tm_stays is null or _tm_stays").select(*here.columns, "_tm_stays"))
+    one = met.where("_tm_stays").dropDuplicates(["_tm_i", "_tm_h"])
+    return split(False).unionByName(met.where("_tm_stays is null").drop("_tm_stays")).unionByName(one.drop("_tm_stays")).select(*df.columns)
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at similarity 0.75 of five-word shingles. See ``near_components``; an empty table gives no rows."""
     return near_components(documents(spark, sf_dir))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import LOWER, crc_mod, documents, prefix_hash, shingle_hashes, span_hash, text_chunks, with_fields, word_spans
+from .shared import LOWER, crc_mod, documents, text_chunks, with_fields, word_hash, word_spans
 
 PASSAGE_WORDS = 64
 HASHED = 192
@@ -28,7 +28,7 @@ _CLASS[ord("0") : ord("9") + 1] = 2
 _CLASS[ord(" ")] = 3
 _CLASS[[9, 10, 11, 12, 13]] = 4
 _CLASS[[ord(c) for c in ".,;:'\"-"]] = 5
-STATS = 8 + 6
+STATS = 8 + 5
 WIDTH = HASHED + STATS
 
 
@@ -45,7 +45,7 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return x, count
     first = np.cumsum(words) - words
     passage = base[owner] + (np.arange(len(starts)) - first[owner]) // PASSAGE_WORDS
-    h = span_hash(prefix_hash(LOWER[data]), starts, ends)
+    h = word_hash(LOWER[data], starts, ends)
     per = np.bincount(passage, minlength=len(x)).astype(np.float32)
     x[:, :HASHED] = np.bincount(passage * HASHED + (h % np.uint64(HASHED)).astype(np.int64), minlength=len(x) * HASHED).reshape(len(x), HASHED)
     safe = np.maximum(per, 1)
@@ -69,11 +69,8 @@ def encode(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     np.maximum.at(most, of, times)
     x[:, at + 1] = most / safe  # the commonest word's share
     x[full, at + 2] = np.log1p(size / safe[full])  # word length
-    doc = np.repeat(np.arange(n), count)
-    distinct = np.array([len(s) for s in shingle_hashes(data, offsets)])
-    x[:, at + 3] = (distinct / np.maximum(1, words - 4))[doc]  # of the whole text: distinct shingles
-    x[:, at + 4] = np.log1p(words)[doc]
-    x[:, at + 5] = (words == 0)[doc]
+    x[:, at + 3] = np.log1p(per)
+    x[:, at + 4] = per == 0
     return x, count
 
 
@@ -138,8 +135,8 @@ class GatedAttention:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", most: int = LABELLED) -> GatedAttention:
-    """Fit on the labelled documents, or about ``most`` of them by a hash of doc_id. Rows without an id, a label or (once joined) a document don't count."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    """Fit on the labelled documents, or about ``most`` of them by a hash of doc_id. Rows without an id, a label or (once joined) a document don't count; of repeated labels the largest counts, and of rows with one id one text, so no more than ``most`` are gathered."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).groupBy("doc_id").agg(F.max("y").alias("y"))
     share = min(1.0, most / max(1, known.count()))
     some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
@@ -152,7 +149,8 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", most: i
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(count)), y.slice(at, len(count)), pa.array([r.astype("<f2").tobytes() for r in rows], pa.binary())], names=["doc_id", "y", "x"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    got = texts.join(F.broadcast(some), "doc_id").mapInArrow(run, "doc_id long, y int, x binary").toArrow().sort_by("doc_id")  # at most ``most`` rows are broadcast
+    one = texts.join(F.broadcast(some), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    got = one.mapInArrow(run, "doc_id long, y int, x binary").toArrow().sort_by("doc_id")  # at most ``most`` rows are broadcast
     y, raw = got.column("y").to_numpy(), got.column("x").to_pylist()
     del got
     count = np.array([len(b) // (2 * WIDTH) for b in raw], np.int64)

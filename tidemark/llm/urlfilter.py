@@ -107,22 +107,24 @@ def host_and_path(url: F.Column) -> tuple[F.Column, F.Column]:
     return host, F.regexp_extract(rest, r"(?s)^[^/?#]*(/[^?#]*)?", 1)
 
 
-def longest_rules(store: DigestArray, sizes: list[int], urls: list[tuple[str, str]]) -> list[str | None]:
+def longest_rules(store: DigestArray, sizes: list[int], urls: list[tuple[str, str]], labels: int) -> list[str | None]:
     """The longest stored rule that fits each (host, path), or None.
 
-    Candidate keys are every domain suffix of the host joined with the path's prefix of every length
-    that a rule has; equal (host, path prefix) pairs are probed once.
+    Candidate keys are the domain suffixes of the host, of as many labels as a rule has (``labels``)
+    at most, joined with the path's prefix of every length that a rule has; equal pairs are probed
+    once. So a host of a million labels costs no more than one of a few.
     """
     plans: dict[tuple[str, str], list[int]] = {}
     keys: dict[bytes, int] = {}
     wanted = []
     most = max(sizes, default=0)
     for host, path in urls:
-        pair = (host, path[:most])
+        parts = host.rsplit(".", labels)
+        pair = (".".join(parts[-labels:]), path[:most])
         if pair not in plans:
-            labels, found = host.split("."), []
-            for i in range(len(labels)):
-                suffix = ".".join(labels[i:])
+            parts, found = parts[-labels:], []
+            for i in range(len(parts)):
+                suffix = ".".join(parts[i:])
                 found += [keys.setdefault((suffix + path[:n]).encode(), len(keys)) for n in sizes if n <= len(path)]
             plans[pair] = found
         wanted.append(pair)
@@ -145,6 +147,7 @@ def judge(df: DataFrame, rules: Iterable[tuple[str, str]], *, url: str = "url",
     rules = list(rules)
     verdicts = {r: v for v, r in rules}
     sizes = sorted({len(r) - r.index("/") for _, r in rules})
+    labels = max((r[: r.index("/")].count(".") + 1 for _, r in rules), default=1)
     name = ship(df.sparkSession, verdicts)
     host, path = host_and_path(F.col(url).cast("string"))
     out = df.drop("host", "path", "rule", "verdict").withColumns({"host": host, "path": path})
@@ -153,7 +156,7 @@ def judge(df: DataFrame, rules: Iterable[tuple[str, str]], *, url: str = "url",
     def run(batches):
         for batch in batches:
             pairs = list(zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True))
-            found = longest_rules(shipped(name), sizes, pairs)
+            found = longest_rules(shipped(name), sizes, pairs, labels)
             more = [pa.array(found, pa.string()), pa.array([verdicts.get(r, default) for r in found], pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *schema.names])
 
