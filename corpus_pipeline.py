@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
-again as the next stage's docs. All but the last return the columns of documents.
+again as the next stage's docs. All but the last return the columns of documents. Other columns of
+documents are carried along, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -14,32 +15,34 @@ from tidemark.llm.shared import documents, durable
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go; the rest stay as they are."""
+    """Documents that the quality classifier rejects go; the rest stay as they are. A null text is empty and scored like any other; repeated rows share their score; without labels all have one score."""
     model = quality.train_on_labels(spark, docs, sf_dir)
     return quality.score(docs, model).where(F.col("score") >= quality.THRESHOLD).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays; of repeated rows, one."""
-    ids = ngram_join.near_components(docs.select("doc_id", "text")).where("doc_id <> component_id").select("doc_id")
-    return docs.join(ids, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    """Of each group of near copies the document with the smallest doc_id stays; of rows equal in doc_id and text, one.
+
+    Different texts under one doc_id, or under none, are judged apart. Rows without words all stay.
+    """
+    return ngram_join.one_of_each(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every secret becomes a mark, and n_chars follows; documents without secrets stay as they are."""
+    """Every secret becomes a mark, and n_chars follows; documents without secrets stay as they are, null and empty texts too. Every row stays."""
     found = secrets.scan(docs, secrets.train(secrets.labelled_samples(spark)))
     n = F.when(F.size("secret_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return secrets.redact(found).withColumn("n_chars", n).select(docs.columns)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate says, so that languages meet their target shares of tokens. Every document stays; those of scarce languages repeat."""
+    """Documents as often as their rate says, so that languages meet their target shares of tokens. Every row stays, repeated ones and those without a text or an id too; those of scarce languages repeat."""
     rated = mixing.mixed(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return rated.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents and their places in sequences of 2048."""
+    """Token pieces of all documents and their places in sequences of 2048. A null text is empty: its end token is packed."""
     return packing.pack(docs, packing.tokenizer_path())
 
 
