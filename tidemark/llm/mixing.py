@@ -72,7 +72,7 @@ class Softmax:
 
 
 def train(docs: DataFrame, labelled: DataFrame, *, domain: str = "lang", most: int = LABELLED) -> Softmax:
-    """Fit on the documents that ``labelled`` (doc_id) names and whose ``domain`` is known, or about ``most`` of them by a hash of doc_id."""
+    """Fit on the documents that ``labelled`` (doc_id) names and whose ``domain`` is known, or about ``most`` of them by a hash of doc_id; of rows with one id and domain one text."""
     ids = labelled.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     share = min(1.0, most / max(1, ids.count()))
     some = ids.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 20)) < int(share * (1 << 20)))
@@ -81,15 +81,20 @@ def train(docs: DataFrame, labelled: DataFrame, *, domain: str = "lang", most: i
         for batch in batches:
             for at, data, offsets in text_chunks(batch.column("text")):
                 x, _ = encode(data, offsets)
-                yield pa.RecordBatch.from_arrays([batch.column("y").slice(at, len(x)), pa.array([r.astype("<f4").tobytes() for r in x], pa.binary())], names=["y", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column("y").slice(at, len(x)), pa.array([r.astype("<f2").tobytes() for r in x], pa.binary())], names=["y", "x"])
 
     known = docs.where(F.col(domain).isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(domain).cast("string").alias("y"))
-    got = known.join(F.broadcast(some), "doc_id").mapInArrow(run, "y string, x binary").toArrow()  # at most ``most`` rows are broadcast
-    y = got.column("y").to_pylist()
+    one = known.join(F.broadcast(some), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # at most ``most`` ids are broadcast
+    got = one.mapInArrow(run, "y string, x binary").toArrow()
+    y, raw = got.column("y").to_pylist(), got.column("x").to_pylist()
+    del got
+    order = sorted(range(len(y)), key=lambda i: (y[i], raw[i]))
+    x = np.frombuffer(b"".join([raw[i] for i in order]), "<f2").reshape(-1, HASHED).astype(np.float32)  # half precision on the way
+    del raw
     names = sorted(set(y)) or ["all"]
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), "<f4").reshape(-1, HASHED)
-    order = np.lexsort((x[:, 0], np.array(y))) if len(y) else []
-    return Softmax(names).fit(x[order], np.array([names.index(y[i]) for i in order], np.int64))
+    model = Softmax(names).fit(x, np.array([names.index(y[i]) for i in order], np.int64))
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def with_posteriors(df: DataFrame, model: Softmax, *, keep: bool = True) -> DataFrame:

@@ -108,8 +108,9 @@ class GatedAttention:
             share = (label.sum() + 0.5) / (len(label) + 1) if len(label) else 0.5
             self.p["b"][:] = np.log(share / (1 - share))
             return self
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-2
-        x = np.subtract(x, self.mean)
+        self.mean = x.mean(0, dtype=np.float64).astype(np.float32)
+        x = np.subtract(x, self.mean, dtype=np.float32)
+        self.scale = np.sqrt(np.einsum("ij,ij->j", x, x) / len(x)) + np.float32(1e-2)
         x /= self.scale
         starts, owner = np.cumsum(count) - count, np.repeat(np.arange(len(count)), count)
         p, m, v = self.p, {k: np.zeros_like(w) for k, w in self.p.items()}, {k: np.zeros_like(w) for k, w in self.p.items()}
@@ -154,9 +155,11 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", most: i
     y, raw = got.column("y").to_numpy(), got.column("x").to_pylist()
     del got
     count = np.array([len(b) // (2 * WIDTH) for b in raw], np.int64)
-    x = np.frombuffer(b"".join(raw), "<f2").reshape(-1, WIDTH).astype(np.float32)  # half precision on the way
+    x = np.frombuffer(b"".join(raw), "<f2").reshape(-1, WIDTH)  # half precision until it is fitted
     del raw
-    return GatedAttention().fit(x, count, y)
+    model = GatedAttention().fit(x, count, y)
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(df: DataFrame, model: GatedAttention, *, text: str = "text") -> DataFrame:
