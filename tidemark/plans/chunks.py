@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from ..operators.ranges import running
 
 #: Slices counted for each chunk, and at most in one pass.
 SLICES_PER_CHUNK = 16
@@ -63,16 +64,10 @@ def integer_chunks(extent: tuple[int, int, int], chunk_rows: int, count: Counter
 
 
 def keyset_bounds(df: DataFrame, keys: list[str], chunk_rows: int) -> DataFrame:
-    """The first key of every chunk but the first; a key that repeats is never split.
-
-    Distinct keys are counted and summed along their order, so the window holds a row a distinct key.
-    """
-    order = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    chunk = F.floor(before / chunk_rows)
-    at = counts.select(*keys, "n", chunk.alias("chunk"))
-    return at.withColumn("prior", F.lag("chunk").over(order)).where("chunk <> prior").select("chunk", *keys)
+    """The first key of every chunk but the first; a key that repeats is never split. Distinct keys are counted, and the counts summed range by range."""
+    at = running(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys, "n")
+    chunk, prior = F.floor(F.col("_before") / chunk_rows), F.floor(F.col("_prior") / chunk_rows)
+    return at.where(chunk != prior).select(chunk.alias("chunk"), *keys)
 
 
 def wave_rounds(target_seconds: float, pace: float | None, most_seconds: float | None = None) -> int:
