@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from statistics import median
 from typing import Any
 
@@ -26,7 +26,7 @@ def _of(op: int) -> Column:
 
 
 def measures() -> list[Column]:
-    """One pass over a batch; an update counts by its row after, so its row before counts for nothing."""
+    """What a batch is counted for, in one pass. Of an update's two rows only the one after it counts, as an update."""
     return [
         F.count(F.lit(1)).alias("rows"), F.min("_start_lsn").alias("min_lsn"), F.max("_start_lsn").alias("max_lsn"),
         F.min("_commit_ts").alias("min_commit_ts"), F.max("_commit_ts").alias("max_commit_ts"),
@@ -62,18 +62,29 @@ def chunks_of(facts: DataFrame, snapshot: str) -> DataFrame:
     )
 
 
+def _least_known(values: list[Any]) -> Any:
+    return max(values) if values else None
+
+
+#: Fact <- (what a range measured, how the ranges' values become one, whether one unknown value makes the fact unknown).
+FOLDS: dict[str, tuple[str, Callable[[list[Any]], Any], bool]] = {
+    "end_lsn": ("to_lsn", _least_known, False),
+    "source_rtt_ms": ("rtt_ms", lambda v: round(median(v), 1) if v else None, False),
+    "read_seconds": ("read_seconds", lambda v: round(sum(v), 3), False),
+    "read_mb": ("read_mb", lambda v: round(sum(v), 6), False),
+    "network_wait_ms": ("network_wait_ms", sum, True),
+    "retention_watermark_ts": ("watermark_ts", _least_known, False),
+    "source_max_commit_ts": ("max_commit_ts", _least_known, False),
+    "capture_lag_seconds": ("capture_lag_seconds", _least_known, False),
+}
+
+
 def fold_metrics(files: Iterable[dict[str, Any]]) -> dict[str, Any]:
-    """What the ranges of a batch measured, as one: end, median round trip, summed reads, and waits (unknown if any is)."""
+    """What the ranges of a batch measured, as one row of facts (see FOLDS); without ranges all is unknown."""
     files = list(files)
-    get = lambda k: [f[k] for f in files if f.get(k) is not None]
-    waits = [f.get("network_wait_ms") for f in files]
-    return {
-        "end_lsn": max(get("to_lsn"), default=None),
-        "source_rtt_ms": round(median(get("rtt_ms")), 1) if get("rtt_ms") else None,
-        "read_seconds": round(sum(get("read_seconds")), 3) if files else None,
-        "read_mb": round(sum(get("read_mb")), 6) if files else None,
-        "network_wait_ms": sum(waits) if files and None not in waits else None,
-        "retention_watermark_ts": max(get("watermark_ts"), default=None),
-        "source_max_commit_ts": max(get("max_commit_ts"), default=None),
-        "capture_lag_seconds": max(get("capture_lag_seconds"), default=None),
-    }
+    out = {}
+    for fact, (name, fold, strict) in FOLDS.items():
+        values = [f.get(name) for f in files]
+        known = [v for v in values if v is not None]
+        out[fact] = None if not files or (strict and len(known) < len(values)) else fold(known)
+    return out

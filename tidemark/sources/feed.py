@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import os
+import time
 import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -17,12 +17,18 @@ from pyspark.sql.types import StructType
 from ..functions import lsn
 from ..functions.types import DataLoss, SchemaChanged, columns_of, data_type, fits, struct_of, union_schema
 from ..operators.changelog import check_names, pieces
+from ..plans.tiles import LEAST_ROWS, merge_tiles
+from . import sidefiles
 from .capture import CaptureStore
+from .logfeed import LogFeed, open_store
+from .retry import retrying
+
+Store = CaptureStore | LogFeed
 
 #: Options of both sources: what they mean and their defaults.
 OPTIONS = {
     "path": "folder of the change database", "table": "source table", "columns": "declared columns (DDL), instead of the instances' union",
-    "startingPosition": "earliest, latest, or the last position already read", "maxCommits": "commits of a batch at most", "numPartitions": "ranges of a batch",
+    "startingPosition": "earliest, latest, or the last position already read", "maxCommits": "commits of a batch at most", "numPartitions": "ranges of a batch", "leastRows": "rows of a range at least", "resume": "where the checkpoint stands, so that the first batch is capped too", "until": "last position of this run",
     "failOnDataLoss": "whether purged changes fail the read (true) or are skipped with an event", "schemaChangePolicy": "event, or fail on any DDL",
     "includeCommandId": "whether rows carry _command_id", "events": "folder for events of a batch", "snapshotPosition": "stamp of a snapshot", "lo": "least key (JSON)", "hi": "end of the keys (JSON)", "chunk": "number of the chunk",
 }
@@ -65,7 +71,7 @@ def check_options(options: dict[str, str]) -> None:
         warnings.warn(f"unknown options: {', '.join(unknown)}", stacklevel=3)
 
 
-def captured(store: CaptureStore, options: dict[str, str]) -> list[tuple[str, str]]:
+def captured(store: Store, options: dict[str, str]) -> list[tuple[str, str]]:
     """Columns of the read: declared, or the union of the table's instances."""
     found = store.instances(options["table"])
     if not found:
@@ -109,9 +115,9 @@ class Range(InputPartition):
 class ChangeReader(DataSourceStreamReader):
     def __init__(self, options: dict[str, str], columns: list[tuple[str, str]], schema: StructType):
         self.options, self.columns, self.schema = options, columns, schema
-        self.store = CaptureStore(options["path"])
+        self.store = open_store(options["path"])
         self.most, self.ranges = positive(options, "maxCommits", None), positive(options, "numPartitions", 1)
-        self.planned: str | None = None
+        self.planned: str | None = options.get("resume")
 
     def _offset(self, position: str) -> dict[str, Any]:
         return {"lsn": position, "commit_ts": self.store.time_of(position) or ""}
@@ -128,13 +134,33 @@ class ChangeReader(DataSourceStreamReader):
         self.planned = at
         return self._offset(at)
 
+    @retrying
     def latestOffset(self) -> dict[str, Any]:
-        """The newest position, or the n-th commit after what this reader last planned. After a restart the first batch has no cap: the source isn't told where it starts."""
-        newest = self.store.newest()
+        """The newest position of this run: where it was frozen (``until``), the n-th commit after what was planned last, and the position before an instance whose columns the read does not have."""
+        newest = min(self.store.newest(), self.options.get("until") or lsn.from_int(lsn.MAX))
+        if (stop := self._stop()) is not None:
+            if self.planned is not None and self.planned >= stop[0]:
+                raise SchemaChanged(stop[1])
+            newest = min(newest, stop[0])
         if self.most and self.planned is not None:
             newest = min(newest, self.store.nth_after(self.planned, self.most))
         return self._offset(max(newest, self.planned or lsn.ZERO))
 
+    def _stop(self) -> tuple[str, str] | None:
+        """The last position before an instance that captures what this read cannot hold, and why. Declared columns leave new ones out, with a warning."""
+        want = {n.lower(): t for n, t in self.columns}
+        for inst in self.store.instances(self.options["table"])[1:]:
+            new = [n for n, _ in inst["columns"] if n.lower() not in want]
+            if new and self.options.get("columns"):
+                warnings.warn(f"instance {inst['name']} captures {', '.join(new)}, which the declared columns leave out", stacklevel=2)
+            elif new:
+                return lsn.before(inst["created"]), f"instance {inst['name']} captures a new column {new[0]!r}; restart the stream to read it"
+            for n, t in inst["columns"]:
+                if n.lower() in want and not fits(t, want[n.lower()]):
+                    return lsn.before(inst["created"]), f"column {n!r} is now {t}, which {want[n.lower()]} does not hold"
+        return None
+
+    @retrying
     def partitions(self, start: dict[str, Any], end: dict[str, Any]) -> list[Range]:
         lo, hi, table = lsn.after(start["lsn"]), end["lsn"], self.options["table"]
         self.planned = hi
@@ -158,14 +184,11 @@ class ChangeReader(DataSourceStreamReader):
         return out
 
     def _check_types(self, found: list[dict[str, Any]], lo: str, hi: str, events: list[dict[str, Any]]) -> None:
-        """Before anything is read: changed types must still fit, and new columns need a restart."""
+        """Before anything is read: types that changed must still fit. What a newer instance adds ends the run before it (see ``_stop``)."""
         want = {n.lower(): t for n, t in self.columns}
         for inst in found:
             for n, t in inst["columns"]:
-                if n.lower() not in want:
-                    if not self.options.get("columns") and inst["created"] <= hi:
-                        raise SchemaChanged(f"instance {inst['name']} captures a new column {n!r}; restart the stream to read it")
-                elif not fits(t, want[n.lower()]):
+                if n.lower() in want and inst["created"] <= hi and not fits(t, want[n.lower()]):
                     raise SchemaChanged(f"column {n!r} is now {t}, which {want[n.lower()]} does not hold")
         for d in self.store.ddl(self.options["table"], lsn.before(lo), hi):
             if self.options.get("schemaChangePolicy", "event") == "fail":
@@ -179,38 +202,73 @@ class ChangeReader(DataSourceStreamReader):
         return inst["low"]
 
     def _split(self, inst: dict[str, Any], a: str, b: str) -> list[Range]:
-        """Ranges of even commits, each ending on one."""
-        at = [e["lsn"] for e in self.store.timeline() if a <= e["lsn"] <= b]
-        n = min(self.ranges or 1, max(1, len(at)))
-        ends = [at[len(at) * (i + 1) // n - 1] for i in range(n - 1)] if at else []
+        """Ranges of about even rows, each ending on a commit; ranges of few rows are united."""
+        counts = self.store.commit_rows(inst["name"], a, b) if (self.ranges or 1) > 1 else []
+        total, upto, tiles = sum(n for _, n in counts), 0, {}
+        for at, n in counts:
+            upto += n
+            tile = (upto - 1) * self.ranges // total
+            tiles[tile] = (at, tiles.get(tile, ("", 0))[1] + n)
+        merged = merge_tiles([tiles[t] for t in sorted(tiles)], positive(self.options, "leastRows", LEAST_ROWS)) if tiles else []
+        ends = [at for at, _ in merged[:-1]]
         los, his = [a, *[lsn.after(e) for e in ends]], [*ends, b]
         held = [n for n, _ in inst["columns"]]
         return [Range(inst["name"], x, y, held) for x, y in zip(los, his, strict=True) if x <= y]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        rows = self.store.changes(partition.instance, partition.lo, partition.hi) if partition.lo <= partition.hi else []
+        """Rows of one range, then a check that none was purged meanwhile; events and what was measured go to side files."""
+        began, events, n, size = time.time(), list(partition.events), 0, 0
+        cid = flag(self.options, "includeCommandId", True)
+        if partition.lo <= partition.hi:
+            for batch in _changes(self.store, partition, self.schema, cid):
+                n, size = n + batch.num_rows, size + batch.nbytes
+                yield batch
         low = self.store.low(partition.instance)
-        events = list(partition.events)
-        if rows and partition.lo < low:  # purged while it was read
+        if n and partition.lo < low:  # purged while it was read
             if flag(self.options, "failOnDataLoss", True):
                 raise DataLoss(f"changes of {partition.instance} below {low} were purged during the read")
             events.append({"event": "data_skipped", "detail": json.dumps({"from": partition.lo, "to": lsn.before(low), "certain": False})})
-        if events and (folder := self.options.get("events")):
-            write_whole(f"{folder}/{partition.lo}-{partition.hi}.json", json.dumps(events))
-        times = {e["lsn"]: e["ts"] for e in self.store.timeline()}
-        cid = flag(self.options, "includeCommandId", True)
-        meta = [(partition.instance, r["lsn"], r["seq"], r["op"], *([r["command"]] if cid else []), times[r["lsn"]]) for r in rows]
-        yield from _batches(self.schema, meta, [r["row"] for r in rows])
+        if folder := self.options.get("events"):
+            newest = self.store.newest()
+            measured = {"event": "metrics", "to_lsn": partition.hi, "read_seconds": time.time() - began, "read_mb": size / 1e6, "rtt_ms": _round_trip(self.store, partition.instance), "watermark_ts": self.store.time_of(low), "max_commit_ts": self.store.time_of(newest)}
+            sidefiles.write(folder, f"{partition.lo}-{partition.hi}.json", [*events, measured])
 
     def commit(self, end: dict[str, Any]) -> None:
         pass
 
 
-def write_whole(path: str, text: str) -> None:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(f"{path}.new", "w", encoding="utf-8") as f:
-        f.write(text)
-    os.replace(f"{path}.new", path)
+def _changes(store: Store, partition: Range, schema: StructType, cid: bool) -> Iterator[pa.RecordBatch]:
+    """Change rows in the read's columns: Arrow as the feed has them, or from plain rows. Columns that the instance lacks, or lost, are null."""
+    if isinstance(store, LogFeed):
+        meta = {"_start_lsn": "lsn", "_seqval": "seq", "_operation": "op", "_command_id": "command", "_commit_ts": "ts"}
+        for batch in store.change_batches(partition.instance, partition.lo, partition.hi):
+            yield _conformed(batch, schema, meta, {"_capture_instance": partition.instance})
+        return
+    rows = store.changes(partition.instance, partition.lo, partition.hi)
+    times = {e["lsn"]: e["ts"] for e in store.timeline() if partition.lo <= e["lsn"] <= partition.hi}
+    meta = [(partition.instance, r["lsn"], r["seq"], r["op"], *([r["command"]] if cid else []), times[r["lsn"]]) for r in rows]
+    yield from _batches(schema, meta, [r["row"] for r in rows])
+
+
+def _conformed(batch: pa.RecordBatch, schema: StructType, source: dict[str, str], fixed: dict[str, Any]) -> pa.RecordBatch:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kinds = to_arrow_schema(schema)
+    have = {n.lower(): n for n in batch.schema.names}
+    out = []
+    for f in kinds:
+        name = source.get(f.name) or have.get(f.name.lower())
+        if f.name in fixed:
+            out.append(pa.repeat(pa.scalar(fixed[f.name], f.type), batch.num_rows) if fixed[f.name] is not None else pa.nulls(batch.num_rows, f.type))
+        else:
+            out.append(batch[name].cast(f.type) if name in batch.schema.names else pa.nulls(batch.num_rows, f.type))
+    return pa.RecordBatch.from_arrays(out, schema=pa.schema([(f.name, f.type) for f in kinds]))
+
+
+def _round_trip(store: Store, instance: str) -> float:
+    began = time.perf_counter()
+    store.low(instance)
+    return 1000 * (time.perf_counter() - began)
 
 
 def _batches(schema: StructType, meta: list[tuple], rows: list[dict[str, Any]], extra: tuple = ()) -> Iterator[pa.RecordBatch]:
@@ -242,7 +300,7 @@ class ChangeSource(DataSource):
         return "tidemark_changes"
 
     def schema(self) -> StructType:
-        return _schema(captured(CaptureStore(self.options["path"]), Options(self.options)), flag(Options(self.options), "includeCommandId", True))
+        return _schema(captured(open_store(self.options["path"]), Options(self.options)), flag(Options(self.options), "includeCommandId", True))
 
     def streamReader(self, schema: StructType) -> ChangeReader:
         check_options(Options(self.options))
@@ -250,7 +308,7 @@ class ChangeSource(DataSource):
         return ChangeReader(Options(self.options), [(n, schema[n].dataType.simpleString()) for n in names], schema)
 
 
-def stamp(store: CaptureStore, table: str) -> str:
+def stamp(store: Store, table: str) -> str:
     """Position of a snapshot, recorded before its rows are read: the newest, but not before the instance that will follow it begins."""
     found = store.instances(table)
     return max(store.newest(), lsn.before(found[-1]["created"]))
@@ -264,27 +322,46 @@ class KeyRange(InputPartition):
 class SnapshotReader(DataSourceReader):
     def __init__(self, options: dict[str, str], schema: StructType):
         self.options, self.schema = options, schema
-        self.store = CaptureStore(options["path"])
+        self.store = open_store(options["path"])
         self.at = options.get("snapshotPosition") or stamp(self.store, options["table"])
 
+    @retrying
     def partitions(self) -> list[KeyRange]:
         n = positive(self.options, "numPartitions", 1) or 1
         return [KeyRange(i, n) for i in range(n)]
 
     def read(self, partition: KeyRange) -> Iterator[pa.RecordBatch]:
+        """Rows of [lo, hi) of the first key, NULL below every value; of these the partition's part."""
         part, parts = partition.value
-        table = self.options["table"]
-        keys, first = self.store.keys(table), lambda v: (v is not None, v if v is not None else 0)
-        rows = sorted(self.store.rows(table), key=lambda r: [first(r.get(k)) for k in keys] or [])
+        table, cid = self.options["table"], flag(self.options, "includeCommandId", True)
         lo, hi = (json.loads(self.options[o]) if self.options.get(o) else None for o in ("lo", "hi"))
-        k = keys[0] if keys else None
-        rows = [r for r in rows if (lo is None or (r[k] is not None and r[k] >= lo)) and (hi is None or r[k] is None or r[k] < hi)]
+        keys, found, ts = self.store.keys(table), self.store.instances(table)[-1], self.store.time_of(self.at)
+        chunk = (int(self.options["chunk"]),) if "chunk" in self.options else ()
+        if isinstance(self.store, LogFeed):
+            at = pa.scalar(ts, pa.string()).cast(pa.timestamp("us")).as_py() if ts else None
+            fixed = {"_capture_instance": found["name"], "_start_lsn": self.at, "_seqval": None, "_operation": 0, "_command_id": None, "_commit_ts": at} | ({"_chunk": chunk[0]} if chunk else {})
+            ends = [v[0] if isinstance(v, list) else v for v in (lo, hi)]
+            for batch in self.store.row_batches(table, keys[0] if keys else None, *ends, part, parts):
+                yield _conformed(_within(batch, keys, lo, hi), self.schema, {}, fixed)
+            return
+        first = lambda v: (v is not None, v if v is not None else 0)
+        key = lambda r: [first(r.get(k)) for k in keys]
+        bound = lambda v: None if v is None else [first(x) for x in (v if isinstance(v, list) else [v])]
+        low, high = bound(lo), bound(hi)
+        rows = sorted((r for r in self.store.rows(table) if (low is None or key(r)[: len(low)] >= low) and (high is None or key(r)[: len(high)] < high)), key=key)
         rows = rows[len(rows) * part // parts : len(rows) * (part + 1) // parts]
-        found = self.store.instances(table)[-1]
-        cid = flag(self.options, "includeCommandId", True)
-        ts = self.store.time_of(self.at)
         meta = [(found["name"], self.at, None, 0, *([None] if cid else []), ts)] * len(rows)
-        yield from _batches(self.schema, meta, rows, (int(self.options["chunk"]),) if "chunk" in self.options else ())
+        yield from _batches(self.schema, meta, rows, chunk)
+
+
+def _within(batch: pa.RecordBatch, keys: list[str], lo: Any, hi: Any) -> pa.RecordBatch:
+    """The rows of a composite range; the first key alone was filtered by the file read."""
+    if not (isinstance(lo, list) or isinstance(hi, list)) or not batch.num_rows:
+        return batch
+    first = lambda v: (v is not None, v if v is not None else 0)
+    low, high = ([first(x) for x in v] if isinstance(v, list) else None for v in (lo, hi))
+    rows = [[first(v) for v in r] for r in zip(*(batch[k].to_pylist() for k in keys), strict=True)]
+    return batch.filter(pa.array([(low is None or r[: len(low)] >= low) and (high is None or r[: len(high)] < high) for r in rows]))
 
 
 class SnapshotSource(DataSource):
@@ -295,7 +372,7 @@ class SnapshotSource(DataSource):
         return "tidemark_snapshot"
 
     def schema(self) -> StructType:
-        return _schema(captured(CaptureStore(self.options["path"]), Options(self.options)), flag(Options(self.options), "includeCommandId", True), "chunk" in Options(self.options))
+        return _schema(captured(open_store(self.options["path"]), Options(self.options)), flag(Options(self.options), "includeCommandId", True), "chunk" in Options(self.options))
 
     def reader(self, schema: StructType) -> SnapshotReader:
         check_options(Options(self.options))

@@ -35,6 +35,11 @@ def newest(kind: str) -> int:
     return max((s.version for s in STEPS[kind]), default=0)
 
 
+def newest_properties(kind: str) -> dict[str, str]:
+    """What a new table is marked with."""
+    return {VERSION: str(newest(kind))}
+
+
 def migrate(table: VersionedTable, kind: str) -> int:
     """Bring a table to this release's version; returns how many steps were applied. A table that a newer release closed to this one is an error."""
     have = table.properties()

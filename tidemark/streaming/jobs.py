@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
-import os
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,11 +18,12 @@ from ..functions import lsn
 from ..functions.types import DataLoss
 from ..operators import audit, changelog, current
 from ..operators.facts import COMPLETED, chunks_of
-from ..plans.chunks import count_slices, integer_chunks
-from ..sources.capture import CaptureStore
-from ..sources.feed import register, stamp, write_whole
+from ..plans.chunks import count_slices, integer_chunks, keyset_bounds, pause, wave_rounds
+from ..sources import sidefiles
+from ..sources.feed import Store, register, stamp
+from ..sources.migrations import migrate
 from ..sources.versioned import VersionedTable
-from . import finality
+from . import finality, lock
 from .sink import bronze_writer, write_facts
 
 
@@ -36,20 +37,35 @@ class Tables:
     silver: str | None = None
 
 
-def _options(store: CaptureStore, table: str, more: dict[str, Any] | None = None) -> dict[str, str]:
+def _options(store: Store, table: str, more: dict[str, Any] | None = None) -> dict[str, str]:
     return {"path": store.path, "table": table} | {k: str(v) for k, v in (more or {}).items()}
 
 
 # Streams
 
 
+def opened(spark: SparkSession, path: str, kind: str) -> VersionedTable:
+    """A bookkeeping table, brought to this release's version if it is there."""
+    table = VersionedTable(spark, path)
+    if table.exists():
+        migrate(table, kind)
+    return table
+
+
+def events_of(spark: SparkSession, tables: Tables) -> list[dict[str, Any]]:
+    """The target's events: a row a chunk, snapshot, switch or schema change."""
+    f = opened(spark, tables.facts, "facts")
+    if not f.exists():
+        return []
+    some = f.read().where((F.col("target") == tables.bronze) & F.col("event").isNotNull())
+    return [r.asDict() for r in some.select("app_id", "event", "max_lsn", "detail", "rows", "batch_id", "written_at").collect()]
+
+
 def generation(checkpoint: str) -> dict[str, Any]:
     """State of a stream's restarts: {generation, snapshot_lsn}; generation 0 is the checkpoint itself."""
-    p = f"{checkpoint}/generation.json"
-    if not os.path.exists(p):
+    if "generation.json" not in sidefiles.names(checkpoint):
         return {"generation": 0, "snapshot_lsn": None}
-    with open(p, encoding="utf-8") as f:
-        return json.load(f)
+    return sidefiles.read(checkpoint, "generation.json")
 
 
 def checkpoint_of(checkpoint: str, number: int) -> str:
@@ -58,39 +74,43 @@ def checkpoint_of(checkpoint: str, number: int) -> str:
 
 def committed_offset(folder: str) -> dict[str, Any] | None:
     """Offset of a checkpoint's last committed batch: the third line of its offset file."""
-    done = [int(n) for n in os.listdir(f"{folder}/commits") if n.isdigit()] if os.path.isdir(f"{folder}/commits") else []
-    if not done:
-        return None
-    with open(f"{folder}/offsets/{max(done)}", encoding="utf-8") as f:
-        return json.loads(f.read().splitlines()[2])
+    done = [int(n) for n in sidefiles.listing(f"{folder}/commits") if n.isdigit()]
+    return json.loads(sidefiles.text(f"{folder}/offsets", str(max(done))).splitlines()[2]) if done else None
 
 
-def lost(store: CaptureStore, table: str, position: str) -> bool:
+def lost(store: Store, table: str, position: str) -> bool:
     """Whether changes after a position were purged from the instance that holds them."""
     found = store.instances(table)
     holder = [i for i in found if i["created"] <= lsn.after(position)] or found[:1]
     return lsn.after(position) < holder[-1]["low"]
 
 
-def stream(spark: SparkSession, store: CaptureStore, table: str, tables: Tables, checkpoint: str, app_id: str, *, options: dict[str, Any] | None = None, on_loss: str = "fail", bootstrap: bool = False, **trigger: Any) -> StreamingQuery:
-    """Start the stream into bronze. ``on_loss``: fail, or resnapshot into a new generation. ``bootstrap``: begin with a snapshot."""
+def stream(spark: SparkSession, store: Store, table: str, tables: Tables, checkpoint: str, app_id: str, *, options: dict[str, Any] | None = None, on_loss: str = "fail", bootstrap: bool = False, resnapshot_days: float = 0.0, **trigger: Any) -> StreamingQuery:
+    """Start the stream into bronze. ``on_loss``: fail, or resnapshot into a new generation, but not within ``resnapshot_days`` of the last. ``bootstrap``: begin with a snapshot.
+
+    A restart tells the source where its checkpoint stands, so ``maxCommits`` holds for its first batch too.
+    """
     if on_loss not in ("fail", "resnapshot"):
         raise ValueError("on_loss is fail or resnapshot")
     register(spark)
-    bronze, facts = VersionedTable(spark, tables.bronze), VersionedTable(spark, tables.facts)
+    bronze, facts = opened(spark, tables.bronze, "bronze"), opened(spark, tables.facts, "facts")
     state = generation(checkpoint)
     at = committed_offset(checkpoint_of(checkpoint, state["generation"]))
     more = dict(options or {})
     if at and lost(store, table, at["lsn"]) and on_loss == "resnapshot":
+        if too_soon := lock.too_soon(events_of(spark, tables), now(), resnapshot_days):
+            raise DataLoss(f"changes after {at['lsn']} were purged, and the last new snapshot is less than {resnapshot_days} days old: {too_soon}")
         number = state["generation"] + 1
         position = snapshot(spark, store, table, tables, f"{app_id}.g{number}", event="resnapshot", lost=(at["commit_ts"] or None, None))
-        state = {"generation": number, "snapshot_lsn": position}
-        write_whole(f"{checkpoint}/generation.json", json.dumps(state))
+        state, at = {"generation": number, "snapshot_lsn": position}, None
+        sidefiles.write(checkpoint, "generation.json", state)
     elif at is None and bootstrap and state["snapshot_lsn"] is None:
         state["snapshot_lsn"] = found_snapshot(spark, tables) or snapshot(spark, store, table, tables, app_id, event="bootstrap")
-        write_whole(f"{checkpoint}/generation.json", json.dumps(state))
+        sidefiles.write(checkpoint, "generation.json", state)
     if state["snapshot_lsn"]:
         more["startingPosition"] = state["snapshot_lsn"]
+    if at is not None:
+        more["resume"] = at["lsn"]
     folder, app = checkpoint_of(checkpoint, state["generation"]), app_id if not state["generation"] else f"{app_id}.g{state['generation']}"
     events = f"{checkpoint}/events-{app}"
     rows = spark.readStream.format("tidemark_changes").options(**_options(store, table, more | {"events": events})).load()
@@ -98,14 +118,39 @@ def stream(spark: SparkSession, store: CaptureStore, table: str, tables: Tables,
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def run_stream(spark: SparkSession, store: CaptureStore, table: str, tables: Tables, checkpoint: str, app_id: str, *, granularity: str = "hour", **more: Any) -> datetime | None:
-    """Run until what is there now is read, then advance the verdict."""
-    q = stream(spark, store, table, tables, checkpoint, app_id, **more)
-    q.awaitTermination()
+def run_stream(spark: SparkSession, store: Store, table: str, tables: Tables, checkpoint: str, app_id: str, *, granularity: str = "hour", snapshot_on_switch: str | None = None, **more: Any) -> datetime | None:
+    """Run until what is there now is read, then advance the verdict. The end is frozen first, so a busy source can't keep the run going.
+
+    With ``maxCommits`` the batches are capped one after the other. ``snapshot_on_switch`` (full, or chunked: then ``backfill`` goes on with it)
+    takes a snapshot after a batch that passed to a newer instance.
+    """
+    options = dict(more.pop("options", None) or {})
+    options.setdefault("until", store.newest())
+    if "maxCommits" in options:
+        q = stream(spark, store, table, tables, checkpoint, app_id, options=options, processingTime="0 seconds", **more)
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    else:
+        q = stream(spark, store, table, tables, checkpoint, app_id, options=options, **more)
+        q.awaitTermination()
+    if snapshot_on_switch:
+        after_switch(spark, store, table, tables, app_id, snapshot_on_switch)
     at = committed_offset(checkpoint_of(checkpoint, generation(checkpoint)["generation"]))
     return finality.advance(spark, tables.control, tables.bronze, at, granularity)
 
 
+def after_switch(spark: SparkSession, store: Store, table: str, tables: Tables, app_id: str, mode: str) -> str | None:
+    """A full snapshot, or the opening of a chunked one, if a switch has had none; its position."""
+    events = events_of(spark, tables)
+    if not lock.switches_to_snapshot(events) or lock.lock(events, mode, f"{app_id}#switch", min(i["low"] for i in store.instances(table))):
+        return None
+    if mode == "full":
+        return snapshot(spark, store, table, tables, f"{app_id}#switch", event="resnapshot")
+    return open_backfill(spark, store, table, tables, f"{app_id}#switch", store.keys(table), 1_000_000)[0]
+
+
 # Snapshots
 
 
@@ -115,7 +160,7 @@ def found_snapshot(spark: SparkSession, tables: Tables) -> str | None:
     return changelog.snapshot_rows(b.read()).agg(F.max(F.coalesce("_snapshot", "_start_lsn"))).first()[0] if b.exists() else None
 
 
-def snapshot(spark: SparkSession, store: CaptureStore, table: str, tables: Tables, app_id: str, *, event: str = "bootstrap", lost: tuple[Any, Any] = (None, None), copy: DataFrame | None = None) -> str:
+def snapshot(spark: SparkSession, store: Store, table: str, tables: Tables, app_id: str, *, event: str = "bootstrap", lost: tuple[Any, Any] = (None, None), copy: DataFrame | None = None) -> str:
     """Append the table's rows (or a copy of them) as one snapshot, and the event that completes it; returns its position."""
     register(spark)
     at = stamp(store, table)
@@ -160,7 +205,7 @@ def apply_changes(spark: SparkSession, tables: Tables, *, instances: list[str],
     if not b.exists():
         return Applied(False)
     f = VersionedTable(spark, tables.facts)
-    events = f.read().where((F.col("target") == tables.bronze) & F.col("event").isNotNull()).select("event", "max_lsn", "detail", "rows", "batch_id").collect() if f.exists() else []  # a row a chunk or snapshot
+    events = events_of(spark, tables)
     log = b.read(b.version())
     whole = [e["max_lsn"] for e in events if e["event"] in COMPLETED] + ([s] if (s := found_snapshot(spark, tables)) else [])
     newest = max(whole, default=None)
@@ -207,58 +252,122 @@ def apply_changes(spark: SparkSession, tables: Tables, *, instances: list[str],
 # Backfill
 
 
-def backfill(spark: SparkSession, store: CaptureStore, table: str, tables: Tables, app_id: str, *, key: str, chunk_rows: int, chunks_per_wave: int = 2, waves: int | None = None) -> str:
+def rows_of(spark: SparkSession, store: Store, table: str, **options: Any) -> DataFrame:
+    return spark.read.format("tidemark_snapshot").options(**_options(store, table, options)).load()
+
+
+def plan_of(now_: DataFrame, keys: list[str], chunk_rows: int) -> tuple[str, list[tuple[Any, Any]]]:
+    """(kind, bounds of the chunks): counted slices of one integer key, else the first keys of every ``chunk_rows`` rows (lists, NULL first). The last chunk is open above."""
+    whole = now_.schema[keys[0]].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
+    if len(keys) == 1 and whole:
+        lo, hi, n = now_.agg(F.min(keys[0]), F.max(keys[0]), F.count(F.col(keys[0]))).first()
+        chunks = integer_chunks((lo, hi, n), chunk_rows, count_slices(now_, keys[0])) if n else []
+        cuts: list[Any] = [a for a, _, _ in chunks[1:]]
+        kind = "int"
+    else:
+        found = keyset_bounds(now_, keys, chunk_rows)
+        cuts = [[json.loads(K.bound_to_json((r[k],))) for k in keys] for r in found.orderBy("chunk").collect()]  # a row a chunk
+        kind = "keyset"
+    ends = [None, *cuts, None]
+    return kind, list(zip(ends[:-1], ends[1:], strict=True))
+
+
+def open_backfill(spark: SparkSession, store: Store, table: str, tables: Tables, app_id: str, keys: list[str], chunk_rows: int) -> tuple[str, dict[str, Any]]:
+    """The open chunked snapshot to go on with, or a new one: its position, recorded before the extent of its keys, and its plan as stored."""
+    register(spark)
+    f = opened(spark, tables.facts, "facts")
+    found = lock.lock(events_of(spark, tables), "chunked", app_id, min(i["low"] for i in store.instances(table)))
+    if found is None:
+        at = stamp(store, table)
+        kind, plan = plan_of(rows_of(spark, store, table, snapshotPosition=at), keys, chunk_rows)
+        detail = json.dumps({"mode": "chunked", "kind": kind, "keys": keys, "plan": plan, "chunk_rows": chunk_rows})
+        write_facts(spark, f, [{"app_id": app_id, "target": tables.bronze, "event": "snapshot_open", "max_lsn": at, "detail": detail}], (f"{app_id}#open", lsn.to_int(at) % (1 << 62)))
+        found = lock.lock(events_of(spark, tables), "chunked", app_id)  # what was stored counts, should another have been faster
+    return found["max_lsn"], json.loads(found["detail"])
+
+
+def headroom(spark: SparkSession, tables: Tables, app_id: str) -> tuple[float | None, float]:
+    """The stream's newest measured headroom in hours, and how old that is."""
+    f = opened(spark, tables.facts, "facts")
+    row = f.read().where((F.col("app_id") == app_id) & F.col("event").isNull()).select("retention_headroom_hours", "written_at").orderBy(F.col("batch_id").desc()).limit(1).collect() if f.exists() else []
+    if not row or row[0][0] is None:
+        return None, 0.0
+    return row[0][0], (now() - row[0][1]).total_seconds() / 3600
+
+
+def backfill(
+    spark: SparkSession, store: Store, table: str, tables: Tables, app_id: str, *, key: str | list[str], chunk_rows: int, chunks_per_wave: int = 2, waves: int | None = None,
+    target_seconds: float | None = None, most_seconds: float | None = None, stream_id: str | None = None, least_headroom_hours: float = 0.0,
+) -> str:
     """Read a big table in chunks beside its stream; a call goes on where the last one ended (``waves``: at most so many now).
 
     The snapshot is opened at a position recorded before its extent. Each wave is stamped before it
-    is read and is one commit; while it is written, the next is already planned and read by a
-    second thread. The last wave writes the event that completes the snapshot.
+    is read and is one commit. While a wave's facts are written, a second thread already reads the next
+    and writes its rows to files that no commit names yet. With ``target_seconds`` waves take as many
+    rounds of ``chunks_per_wave`` as the pace so far fits in. With ``stream_id`` the call ends early
+    when that stream's headroom is short. The last wave writes the event that completes the snapshot.
     """
-    register(spark)
-    f, b = VersionedTable(spark, tables.facts), VersionedTable(spark, tables.bronze)
+    keys = [key] if isinstance(key, str) else list(key)
+    at, opening = open_backfill(spark, store, table, tables, app_id, keys, chunk_rows)
+    keys, plan = opening["keys"], [tuple(p) for p in opening["plan"]]
+    f, b = opened(spark, tables.facts, "facts"), opened(spark, tables.bronze, "bronze")
     base = {"app_id": app_id, "target": tables.bronze}
-    events = f.read().where((F.col("app_id") == app_id) & F.col("event").isNotNull()).collect() if f.exists() else []
-    done = {e["max_lsn"] for e in events if e["event"] in COMPLETED}
-    opened = next((e for e in events if e["event"] == "snapshot_open" and e["max_lsn"] not in done), None)
-    rows = lambda **o: spark.read.format("tidemark_snapshot").options(**_options(store, table, o)).load()
-    if opened is None:
-        at = stamp(store, table)
-        now = rows(snapshotPosition=at)
-        lo, hi, n = now.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-        plan = [(a, h) for a, h, _ in integer_chunks((lo, hi, n), chunk_rows, count_slices(now, key))] if n else [(None, None)]
-        detail = json.dumps({"mode": "chunked", "kind": "int", "keys": [key], "plan": plan, "chunk_rows": chunk_rows})
-        write_facts(spark, f, [base | {"event": "snapshot_open", "max_lsn": at, "detail": detail}], (f"{app_id}#open", lsn.to_int(at) % (1 << 62)))
-    else:
-        at, plan = opened["max_lsn"], [tuple(p) for p in json.loads(opened["detail"])["plan"]]
-    ready = {json.loads(e["detail"])["chunk"] for e in events if e["event"] == "snapshot_chunk" and json.loads(e["detail"])["snapshot"] == at}
+    said = [json.loads(e["detail"]) for e in events_of(spark, tables) if e["event"] == "snapshot_chunk"]
+    ready = {d["chunk"] for d in said if d["snapshot"] == at}
     todo = [i for i in range(len(plan)) if i not in ready]
-    first = len(ready) // chunks_per_wave
-    cuts = [todo[i : i + chunks_per_wave] for i in range(0, len(todo), chunks_per_wave)][:waves]
+    number = max((d["wave"] for d in said if d["snapshot"] == at), default=-1) + 1
+    app = f"{app_id}#snap.{at}"
 
-    def read(numbers: list[int]) -> tuple[str, DataFrame]:
+    def read(wave: int, numbers: list[int]) -> tuple[str, Any, dict[int, int]]:
+        """Stamp, then write the rows of some chunks aside, counted as they pass."""
         position, out = max(at, stamp(store, table)), None
         for i in numbers:
             span = {k: json.dumps(v) for k, v in zip(("lo", "hi"), plan[i], strict=True) if v is not None}
-            part = rows(snapshotPosition=position, chunk=i, **span)
+            part = rows_of(spark, store, table, snapshotPosition=position, chunk=i, **span)
             out = part if out is None else out.unionByName(part)
-        return position, changelog.to_bronze(out, None, at)
+        seen = Observation()
+        counted = changelog.to_bronze(out, None, at).observe(seen, *[F.count(F.when(F.col("_chunk") == i, 1)).alias(str(i)) for i in numbers])
+        staged = b.stage(counted)
+        return position, staged, {i: seen.get[str(i)] for i in numbers}
+
+    def next_wave(pace: float | None) -> list[int]:
+        rounds = wave_rounds(target_seconds, pace, most_seconds) if target_seconds else 1
+        return [todo.pop(0) for _ in range(min(len(todo), rounds * chunks_per_wave))]
 
+    pace, done, coming = None, 0, None
     with ThreadPoolExecutor(1) as ahead:
-        coming = ahead.submit(read, cuts[0]) if cuts else None
-        for w, numbers in enumerate(cuts):
-            position, part = coming.result()
-            number = first + w
-            b.append(part, txn=(f"{app_id}#snap.{at}", number), metadata=json.dumps({"wave": number, "lsn": position}))
-            coming = ahead.submit(read, cuts[w + 1]) if w + 1 < len(cuts) else None
-            held = {r["_chunk"]: (r["n"], r["m"]) for r in changelog.snapshot_rows(b.read(), at, chunks=numbers).groupBy("_chunk").agg(F.count(F.lit(1)).alias("n"), F.min("_start_lsn").alias("m")).collect()}
+        while todo or coming:
+            if waves is not None and done >= waves and not coming:
+                break
+            if stream_id and pause(*headroom(spark, tables, stream_id), least_headroom_hours) and not coming:
+                break
+            if not coming:
+                numbers = next_wave(pace)
+                coming = (numbers, ahead.submit(read, number, numbers))
+            numbers, task = coming
+            began = time.time()
+            held = b.metadata_of(app, number)  # a wave that was committed before a crash: its facts are still to be written
+            position, staged, counts = task.result()
+            if held is None:
+                b.append_staged(staged, txn=(app, number), metadata=json.dumps({"wave": number, "lsn": position, "chunks": {str(i): n for i, n in counts.items()}}))
+            else:
+                position, counts = held["lsn"], {int(i): n for i, n in held["chunks"].items()}
+                todo = sorted({*todo, *numbers} - set(counts))
+                numbers = sorted(counts)
+            pace = max(time.time() - began, 1e-3) / max(1, -(-len(numbers) // chunks_per_wave))
+            done += 1
+            coming = None
+            if todo and (waves is None or done < waves) and not (stream_id and pause(*headroom(spark, tables, stream_id), least_headroom_hours)):
+                following = next_wave(pace)
+                coming = (following, ahead.submit(read, number + 1, following))
             facts = []
             for i in numbers:
                 lo_, hi_ = (None if v is None else json.dumps(v) for v in plan[i])
-                n, m = held.get(i, (0, position))
-                facts.append(base | {"event": "snapshot_chunk", "rows": n, "max_lsn": m, "detail": json.dumps({"snapshot": at, "wave": number, "chunk": i, "last": i == len(plan) - 1, "lo": lo_, "hi": hi_})})
-            write_facts(spark, f, facts, (f"{app_id}#snap.{at}", number))
-    if len(todo) == sum(map(len, cuts)):
-        total = changelog.snapshot_rows(b.read(), at, chunked=True).count()
+                facts.append(base | {"event": "snapshot_chunk", "rows": counts[i], "max_lsn": position, "detail": json.dumps({"snapshot": at, "wave": number, "chunk": i, "last": i == len(plan) - 1, "lo": lo_, "hi": hi_})})
+            write_facts(spark, f, facts, (app, number))
+            number += 1
+    if not todo:
+        total = sum(e["rows"] or 0 for e in events_of(spark, tables) if e["event"] == "snapshot_chunk" and json.loads(e["detail"])["snapshot"] == at)
         write_facts(spark, f, [base | {"event": "bootstrap", "rows": total, "max_lsn": at, "detail": json.dumps({"snapshot": at, "chunks": len(plan), "rows": total})}], (f"{app_id}#done", lsn.to_int(at) % (1 << 62)))
     return at
 
@@ -273,36 +382,69 @@ class Reconciled:
     counts: dict[str, int]
 
 
-def reconcile(spark: SparkSession, source: DataFrame, tables: Tables, *, keys: list[str], kind: str = "int", bucket_rows: int = 1_000_000, sample: float = 0.01, seed: int | None = None) -> Reconciled:
-    """Compare silver with the source (read after silver's position was): buckets of the key first, then the rows of those that differ and of a sample."""
+#: The report table, a row a merged bucket or failure.
+REPORT = "run_id string, kind string, lo string, hi string, source_rows bigint, target_rows bigint, status string, key string, failure_type string, detail string"
+
+
+def chunk_failures(spark: SparkSession, tables: Tables) -> list[tuple[str, int | None, str]]:
+    """What is wrong with the newest chunked snapshot: its chunks as announced against the rows that bronze holds."""
+    events = events_of(spark, tables)
+    chunked = [e for e in events if e["event"] == "snapshot_open" and lock.mode_of(e["detail"]) != "full"]
+    if not chunked:
+        return []
+    at = max(e["max_lsn"] for e in chunked)
+    complete = any(e["event"] in COMPLETED and e["max_lsn"] == at for e in events)
+    said = [(json.loads(e["detail"]), e) for e in events if e["event"] == "snapshot_chunk"]
+    chunks = [{k: d.get(k) for k in ("chunk", "lo", "hi", "last")} | {"rows": e["rows"], "stamp": e["max_lsn"]} for d, e in said if d["snapshot"] == at]
+    b = VersionedTable(spark, tables.bronze)
+    rows = changelog.snapshot_rows(b.read(), at, chunked=True).groupBy("_chunk").agg(F.count(F.lit(1)).alias("n"), F.min("_start_lsn").alias("m")).collect() if b.exists() else []  # a row a chunk
+    return audit.check_chunks(at, chunks, {r["_chunk"]: (r["n"], r["m"]) for r in rows}, complete=complete)
+
+
+def reconcile(spark: SparkSession, source: DataFrame, tables: Tables, *, keys: list[str], kind: str = "int", bucket_rows: int = 1_000_000, sample: float = 0.01, seed: int | None = None, report: str | None = None, run_id: str = "run", computed: tuple[str, ...] = ()) -> Reconciled:
+    """Compare silver with the source (read after silver's position was): buckets of the key first, then the rows of those that differ and of a sample; and the chunks of the newest snapshot.
+
+    Fine buckets are united until the larger side has ``bucket_rows``; their sums, at most audit.FINE
+    rows, are what the driver sees. ``computed`` columns are not compared. ``report`` is a table to append to.
+    """
     row = finality.row_of(spark, tables.control, tables.silver) or {}
     silver = VersionedTable(spark, tables.silver).read()
-    columns = [c for c in source.columns if not c.startswith("_") and c in silver.columns]
+    columns = [c for c in source.columns if not c.startswith("_") and c in silver.columns and c.lower() not in {x.lower() for x in computed}]
     b = VersionedTable(spark, tables.bronze)
     moved = changelog.changes_after(b.read(), row["applied_lsn"]).select(*keys) if b.exists() and row.get("applied_lsn") else None
-    if kind not in ("int", "date") or len(keys) != 1:
-        failures = audit.row_differences(source, silver, keys, columns, moved)
-        return Reconciled(spark.createDataFrame([], "bucket bigint"), failures, {r["failure_type"]: r["n"] for r in failures.groupBy("failure_type").agg(F.count("*").alias("n")).collect()})
     key = keys[0]
-    lo, hi = source.select(key).unionByName(silver.select(key)).agg(F.min(K.ordinal(F.col(key), kind)), F.max(K.ordinal(F.col(key), kind))).first()
-    width = audit.fine_width(lo or 0, hi or 0)
-    n = source.count()
-    # At about even density, so many ordinals hold bucket_rows.
-    width = max(width, -(-((hi or 0) - (lo or 0) + 1) * bucket_rows // max(1, n)))
-    fine = lambda df: audit.buckets(df, key, kind, width)
-    moved_buckets = moved.select(K.bucket(K.ordinal(F.col(key), kind), width).alias("bucket")) if moved is not None else None
-    found = audit.compare_buckets(fine(source), fine(silver), moved_buckets)
-    chosen = audit.pick([(r["bucket"], r["status"]) for r in found.select("bucket", "status").orderBy("bucket").collect()], sample, seed)
-    chosen_df = spark.createDataFrame([(x,) for x in chosen], "_b bigint")
-    in_ = lambda df: df.withColumn("_b", K.bucket(K.ordinal(F.col(key), kind), width)).join(chosen_df, "_b", "left_semi").drop("_b")
-    failures = audit.row_differences(in_(source), in_(silver), keys, columns, moved)
-    return Reconciled(found, failures, {r["failure_type"]: r["n"] for r in failures.groupBy("failure_type").agg(F.count("*").alias("n")).collect()})
+    if kind in ("int", "date") and len(keys) == 1:
+        o = K.ordinal(F.col(key), kind)
+        lo, hi = source.select(key).unionByName(silver.select(key)).agg(F.min(o), F.max(o)).first()
+        width = audit.fine_width(lo or 0, hi or 0)
+        found = audit.compare_buckets(*[audit.buckets(x, key, kind, width) for x in (source, silver)], moved.select(K.bucket(o, width).alias("bucket")) if moved is not None else None)
+        fine = found.orderBy("bucket").collect()  # at most audit.FINE rows
+        merged = audit.merge_statuses([tuple(r) for r in fine], bucket_rows)
+        bounds = lambda m: (K.bound(m["first"] * width, kind), K.bound((m["last"] + 1) * width, kind))
+        buckets = spark.createDataFrame([(i, *map(str, bounds(m)), m["source_rows"], m["target_rows"], m["status"]) for i, m in enumerate(merged)], "bucket bigint, lo string, hi string, source_rows bigint, target_rows bigint, status string")
+        chosen = audit.pick([(i, m["status"]) for i, m in enumerate(merged)], sample, seed)
+        spans = spark.createDataFrame([(b_,) for i in chosen for b_ in range(merged[i]["first"], merged[i]["last"] + 1)], "_b bigint")  # at most audit.FINE rows
+        in_ = lambda df: df.withColumn("_b", K.bucket(o, width)).join(F.broadcast(spans), "_b", "left_semi").drop("_b")
+        # Rows without a key are in no bucket, so they are always compared.
+        some = lambda df: in_(df).unionByName(df.where(F.col(key).isNull()))
+        failures = audit.row_differences(some(source), some(silver), keys, columns, moved)
+    else:
+        buckets = spark.createDataFrame([], "bucket bigint, lo string, hi string, source_rows bigint, target_rows bigint, status string")
+        failures = audit.row_differences(source, silver, keys, columns, moved)
+    wrong = spark.createDataFrame([(None if c is None else json.dumps({"chunk": c}), t, d) for t, c, d in chunk_failures(spark, tables)], "key string, failure_type string, detail string")
+    failures = failures.unionByName(wrong)
+    if report:
+        out = VersionedTable(spark, report).create(REPORT)
+        part = buckets.drop("bucket").withColumn("kind", F.lit("bucket")).unionByName(failures.withColumn("kind", F.lit("failure")), allowMissingColumns=True)
+        out.append(part.withColumn("run_id", F.lit(run_id)).select(*[f.name for f in out.schema()]), txn=(f"report.{run_id}", 0))
+        failures = out.read().where((F.col("run_id") == run_id) & (F.col("kind") == "failure")).select("key", "failure_type", "detail")
+    return Reconciled(buckets, failures, {r["failure_type"]: r["n"] for r in failures.groupBy("failure_type").agg(F.count("*").alias("n")).collect()})
 
 
 # Many streams
 
 
-def start_many(spark: SparkSession, store: CaptureStore, names: list[str], tables: Tables, checkpoint: str, app_id: str, **more: Any) -> dict[str, StreamingQuery]:
+def start_many(spark: SparkSession, store: Store, names: list[str], tables: Tables, checkpoint: str, app_id: str, **more: Any) -> dict[str, StreamingQuery]:
     """One stream a table. Every path and the app_id must contain {ci}, which becomes the table's name."""
     for what, text in (("bronze", tables.bronze), ("checkpoint", checkpoint), ("app_id", app_id)):
         if "{ci}" not in text:

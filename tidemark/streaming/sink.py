@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 import time
 from collections.abc import Callable
 from datetime import UTC, datetime
@@ -14,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions.types import struct_of
 from ..operators.changelog import to_bronze
-from ..operators.facts import FACTS, measures
+from ..operators.facts import FACTS, fold_metrics, measures
+from ..sources import sidefiles
+from ..sources.migrations import migrate, newest_properties
 from ..sources.versioned import VersionedTable
 
 _FIELDS = struct_of(FACTS)
@@ -25,62 +26,80 @@ def write_facts(spark: SparkSession, table: VersionedTable, rows: list[dict[str,
     for r in rows:
         if unknown := set(r) - set(_FIELDS.names):
             raise ValueError(f"no such facts: {', '.join(sorted(unknown))}")
-    table.create(FACTS)
+    if table.exists():
+        migrate(table, "facts")
+    table.create(FACTS, newest_properties("facts"))
     now = datetime.now(UTC).replace(tzinfo=None)
     return table.append(spark.createDataFrame([tuple((r | {"written_at": now}).get(n) for n in _FIELDS.names) for r in rows], _FIELDS), txn=txn)
 
 
 def take_events(folder: str | None) -> list[tuple[str, dict[str, Any]]]:
     """(file, event) of what the ranges of a batch left."""
-    if not folder or not os.path.isdir(folder):
-        return []
-    out = []
-    for name in sorted(os.listdir(folder)):
-        if name.endswith(".json"):
-            with open(f"{folder}/{name}", encoding="utf-8") as f:
-                out += [(f"{folder}/{name}", e) for e in json.load(f)]
-    return out
+    return [(name, e) for name in sidefiles.names(folder) for e in sidefiles.read(folder, name)]
 
 
-def bronze_writer(bronze: VersionedTable, app_id: str, facts: VersionedTable, *, events: str | None = None) -> Callable[[DataFrame, int], None]:
+#: What a batch is observed for, by the names of its facts.
+OBSERVED = ("rows", "min_lsn", "max_lsn", "min_commit_ts", "max_commit_ts", "deletes", "inserts", "updates")
+
+
+class BronzeWriter:
     """A ``foreachBatch`` function.
 
     Rows are appended under the transaction (app_id, batch), facts under the same after them, so a
-    batch that is replayed after a crash changes nothing. The facts are observed while the rows are
-    written: the batch is read once. A batch without rows commits facts only.
+    batch that is replayed after a crash changes nothing. The source is read once: facts are observed
+    while the rows are written, and a batch in which none was seen commits facts only. What the
+    ranges measured is folded into the facts, and their events are rows of their own.
     """
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        spark, began, started = df.sparkSession, time.time(), datetime.now(UTC).replace(tzinfo=None)
-        last = facts.last_txn(app_id) if facts.exists() else None
-        if last is not None and batch_id < last:
-            raise ValueError(f"batch {batch_id} of {app_id!r} comes after batch {last}: the checkpoint was reset, so use another app_id")
-        if last == batch_id:
+    def __init__(self, bronze: VersionedTable, app_id: str, facts: VersionedTable, *, events: str | None = None):
+        self.bronze, self.app_id, self.facts, self.events = bronze, app_id, facts, events
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        began, started = time.time(), datetime.now(UTC).replace(tzinfo=None)
+        if not self._due(batch_id):
             return
-        if bronze.exists() and bronze.has_txn(app_id, batch_id):  # a crash came between rows and facts
-            got = bronze.read().where((F.col("_batch_id") == batch_id) & (F.col("_operation") != 0)).agg(*measures()).first().asDict()
-        else:
-            seen = Observation()
-            rows = to_bronze(df, batch_id).observe(seen, *[c.cast("string") if n.endswith("_ts") else c for c, n in zip(measures(), ("rows", "min_lsn", "max_lsn", "min_commit_ts", "max_commit_ts", "deletes", "inserts", "updates"), strict=True)])
-            if df.isEmpty():
-                got = {"rows": 0, "deletes": 0, "inserts": 0, "updates": 0}
-            else:
-                bronze.append(rows, txn=(app_id, batch_id), metadata=json.dumps({"app": app_id, "batch": batch_id}))
-                got = _named(seen.get)
-        found = take_events(events)
-        base = {"app_id": app_id, "batch_id": batch_id, "target": bronze.path}
-        first = base | got | {"started_at": started, "duration_ms": int(1000 * (time.time() - began)), "end_lsn": got.get("max_lsn"), "end_commit_ts": got.get("max_commit_ts")}
-        write_facts(spark, facts, [first, *[base | {"event": e["event"], "detail": e.get("detail")} for _, e in found]], (app_id, batch_id))
-        for path in {p for p, _ in found}:
-            os.unlink(path)
-
-    return write
-
-
-def _named(seen: dict[str, Any]) -> dict[str, Any]:
-    """Observed measures by name, times from text."""
-    names = ("rows", "min_lsn", "max_lsn", "min_commit_ts", "max_commit_ts", "deletes", "inserts", "updates")
-    out = dict(zip(names, seen.values(), strict=True))
-    for n in ("min_commit_ts", "max_commit_ts"):
-        out[n] = datetime.fromisoformat(out[n]) if isinstance(out[n], str) else out[n]
-    return out
+        got = self._held(batch_id) or self._append(df, batch_id)
+        found = take_events(self.events)
+        facts = {"app_id": self.app_id, "batch_id": batch_id, "target": self.bronze.path}
+        batch = facts | got | measured([e for _, e in found if e["event"] == "metrics"], got.get("max_commit_ts"))
+        batch |= {"started_at": started, "duration_ms": int(1000 * (time.time() - began)), "end_lsn": got.get("max_lsn") or batch.get("end_lsn"), "end_commit_ts": got.get("max_commit_ts")}
+        rows = [batch, *[facts | {"event": e["event"], "detail": e.get("detail")} for _, e in found if e["event"] != "metrics"]]
+        write_facts(df.sparkSession, self.facts, rows, (self.app_id, batch_id))
+        if found:
+            sidefiles.remove(self.events, sorted({name for name, _ in found}))
+
+    def _due(self, batch_id: int) -> bool:
+        last = self.facts.last_txn(self.app_id) if self.facts.exists() else None
+        if last is not None and batch_id < last:
+            raise ValueError(f"batch {batch_id} of {self.app_id!r} comes after batch {last}: the checkpoint was reset, so use another app_id")
+        return last != batch_id
+
+    def _held(self, batch_id: int) -> dict[str, Any] | None:
+        """The facts of a batch whose rows are there already: a crash came between rows and facts."""
+        if not (self.bronze.exists() and self.bronze.has_txn(self.app_id, batch_id)):
+            return None
+        return self.bronze.read().where((F.col("_batch_id") == batch_id) & (F.col("_operation") != 0)).agg(*measures()).first().asDict()
+
+    def _append(self, df: DataFrame, batch_id: int) -> dict[str, Any]:
+        seen = Observation()
+        columns = [c.cast("string").alias(n) if n.endswith("_ts") else c.alias(n) for c, n in zip(measures(), OBSERVED, strict=True)]
+        rows = to_bronze(df, batch_id).observe(seen, *columns)
+        self.bronze.append(rows, txn=(self.app_id, batch_id), metadata=json.dumps({"app": self.app_id, "batch": batch_id}), wanted=lambda: bool(seen.get["rows"]))
+        got = dict(seen.get)
+        return {n: datetime.fromisoformat(v) if n.endswith("_ts") and isinstance(v, str) else v for n, v in got.items()}
+
+
+def bronze_writer(bronze: VersionedTable, app_id: str, facts: VersionedTable, *, events: str | None = None) -> Callable[[DataFrame, int], None]:
+    return BronzeWriter(bronze, app_id, facts, events=events)
+
+
+def measured(files: list[dict[str, Any]], position: datetime | None) -> dict[str, Any]:
+    """Facts of what the ranges measured: their fold, and how far the batch is from both ends of the log."""
+    if not files:
+        return {}
+    got = fold_metrics(files)
+    time_of = lambda n: datetime.fromisoformat(got[n]) if got.get(n) else None
+    low, top, now = time_of("retention_watermark_ts"), time_of("source_max_commit_ts"), datetime.now(UTC).replace(tzinfo=None)
+    hours = lambda a, b: round((a - b).total_seconds() / 3600, 2) if a and b else None
+    seconds = lambda a, b: round((a - b).total_seconds(), 3) if a and b else None
+    return got | {"retention_watermark_ts": low, "source_max_commit_ts": top, "retention_headroom_hours": hours(position, low), "ingestion_lag_seconds": seconds(top, position), "capture_lag_seconds": seconds(now, top)}
