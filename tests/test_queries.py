@@ -6,6 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from tidemark import job_queries  # noqa: F401  registers more
 from tidemark.queries import ORACLES, QUERIES
 
 DATA = Path("/root/testdata/sf0.001")

@@ -6,6 +6,9 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 from typing import Any
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from .types import UnmappedType, spark_type
 
 BIGINT_MAX = (1 << 63) - 1
@@ -54,6 +57,21 @@ def coerce(value: Any, kind: str, *, lower: bool) -> Any:
     return value
 
 
+def coerced(value: Column, *, lower: bool) -> Column:
+    """Column form of ``coerce`` for times: text with any number of digits as a TIMESTAMP_NTZ bound."""
+    whole = F.regexp_extract(value, r"^([^.]*)", 1)
+    part = F.regexp_extract(value, r"\.(\d*)$", 1)
+    at = F.to_timestamp_ntz(F.concat(F.translate(whole, "T", " "), F.lit("."), F.rpad(F.substr(part, F.lit(1), F.lit(6)), 6, "0")), F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    if not lower:
+        return at
+    return F.when(F.substr(part, F.lit(7), F.lit(20)).rlike("[1-9]"), at + F.expr("INTERVAL 0.000001 SECOND")).otherwise(at)
+
+
+def text(value: Column, source_type: str = "") -> Column:
+    """Column form of ``text_of`` for times."""
+    return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSS" if source_type.strip().lower() in ("datetime", "smalldatetime") else "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
 def bound_types(keys: list[tuple[str, str, str | None]]) -> list[str] | None:
     """How each key (name, source type, collation) is cast in a bound, or None if one can't have bounds.
 

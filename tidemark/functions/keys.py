@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import date, datetime
 from decimal import Decimal
 from functools import reduce
@@ -35,6 +36,14 @@ def bound(n: int, kind: str) -> int | str | None:
     return date.fromordinal(EPOCH.toordinal() + max(n, low)).isoformat()
 
 
+def bound_of(ordinal_: Column, kind: str) -> Column:
+    """Column form of ``bound``: the ordinal itself, or its date as text; null above the type's maximum."""
+    if kind == "int":
+        return ordinal_.cast("bigint")
+    low, high = (date.min - EPOCH).days, (date.max - EPOCH).days
+    return F.when(ordinal_ <= high, F.date_format(F.date_add(F.lit(EPOCH), F.greatest(ordinal_, F.lit(low)).cast("int")), "yyyy-MM-dd"))
+
+
 def at_least(keys: list[str], lo: tuple) -> Column:
     """(k1..kn) >= lo, NULL first, as disjoint prefixes that file statistics can use."""
     parts = []
@@ -108,5 +117,19 @@ def differing(columns: list[str], a: str, b: str) -> Column:
     return F.concat_ws(", ", *[F.when(~F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")), F.lit(c)) for c in columns])
 
 
+def identifier(name: str, what: str = "name") -> str:
+    """A source name that can be put into a statement: not empty, no closing bracket, no control characters."""
+    if not name or len(name) > 128 or "]" in name or any(ord(c) < 32 or ord(c) == 127 for c in name):
+        raise ValueError(f"not a {what}: {name!r}")
+    return name
+
+
+def zone_name(name: str) -> str:
+    """The name of a time zone, or a fixed offset: letters, digits and the few signs that occur in them."""
+    if not re.fullmatch(r"[A-Za-z0-9_+\-/ .:()]{1,64}", name):
+        raise ValueError(f"not a time zone: {name!r}")
+    return name
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

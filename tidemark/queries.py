@@ -63,11 +63,6 @@ def a16_ddl_history(spark, d):
     return asof.asof_join(some, t, "lsn", "start_lsn", ["commit_ts"]).select("lsn", "commit_ts", "command")
 
 
-@query("SELECT count(*) AS n FROM orders")
-def a18_row_estimate(spark, d):
-    return T.table(spark, d, "orders").agg(F.count("*").alias("n"))
-
-
 @query(f"SELECT 'dbo_orders' AS _capture_instance, '{S}' AS _start_lsn, NULL::VARCHAR AS _seqval, 0 AS _operation, TIMESTAMP '2024-02-01' AS _commit_ts, o_orderkey, o_orderstatus FROM orders")
 def a4_snapshot_rows(spark, d):
     rows = T.table(spark, d, "orders").select("o_orderkey", "o_orderstatus")

@@ -283,6 +283,8 @@ def open_backfill(spark: SparkSession, store: Store, table: str, tables: Tables,
         detail = json.dumps({"mode": "chunked", "kind": kind, "keys": keys, "plan": plan, "chunk_rows": chunk_rows})
         write_facts(spark, f, [{"app_id": app_id, "target": tables.bronze, "event": "snapshot_open", "max_lsn": at, "detail": detail}], (f"{app_id}#open", lsn.to_int(at) % (1 << 62)))
         found = lock.lock(events_of(spark, tables), "chunked", app_id)  # what was stored counts, should another have been faster
+        if found is None:  # it is complete already, and nothing was committed since
+            return at, {"keys": keys, "plan": []}
     return found["max_lsn"], json.loads(found["detail"])
 
 
@@ -310,6 +312,8 @@ def backfill(
     keys = [key] if isinstance(key, str) else list(key)
     at, opening = open_backfill(spark, store, table, tables, app_id, keys, chunk_rows)
     keys, plan = opening["keys"], [tuple(p) for p in opening["plan"]]
+    if not plan:
+        return at
     f, b = opened(spark, tables.facts, "facts"), opened(spark, tables.bronze, "bronze")
     base = {"app_id": app_id, "target": tables.bronze}
     said = [json.loads(e["detail"]) for e in events_of(spark, tables) if e["event"] == "snapshot_chunk"]
