@@ -6,15 +6,16 @@ one anchor travel as one run.
 
 1. Equal texts are one. If it is long enough for a window, all of it is covered.
 2. Of each run only hashes are dealt, by a key of the bytes that all its windows share. A run whose
-   whole content has two places is covered. A run whose key has other contents is a candidate, and
-   one whose key is alone is done.
-3. Candidates' bytes are dealt by key, one place for each content. A task sorts the suffixes of a
-   few million bytes at a time, blockwise with a difference cover (see ``diffcover``).
-   Keys with more than CROWD contents skip the sort: each of their windows becomes a key of its
-   own, whose content is whole, so step 2 settles it and no task holds such a group.
+   key has no other place is done. Of equal contents two places stand for all.
+3. The bytes of these are dealt by key, and the suffix sort decides: a task sorts the suffixes of a few
+   million bytes at a time, blockwise with a difference cover (see ``diffcover``). Places beyond the
+   two that stand for a content are covered if the sort covers those.
+   A key of more than CROWD contents is split by more leading bytes: each of its windows becomes a run
+   of its own whose key is the whole window, and goes through steps 2 and 3.
 4. Covered spans meet their texts, which give up those bytes.
 
-Content is told apart by two 64-bit hashes; the sort compares bytes.
+Hashes deal out work and tell which places have one content (two hashes of 64 bits) and which texts
+are equal (one, with the length); two given ones that differ are taken for one with a chance of 2^-64.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from .shared import documents, durable, mix, prefix_hash, span_hash, text_chunks
 LENGTH = 400
 ANCHOR = 32
 FILTER_BITS = 1 << 26
-CROWD = 20_000
+CROWD = 4096
 #: Bytes of candidate runs sorted at a time, but for a key with more.
 SORTED_AT_ONCE = 4 << 20
 _PLACE_BITS = 22
@@ -152,8 +153,13 @@ def _gather(batches) -> dict[str, np.ndarray]:
     return {n: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for n, x in held.items()}
 
 
-def _settled(places: DataFrame, parts: int, length: int) -> DataFrame:
-    """Rows kind, text, start, size / mark: 0, a covered span; 1, a candidate (mark is its place); 2, a crowded key (mark is the key)."""
+def _group(key: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """One value for a content of a key."""
+    return mix(key.view(np.uint64) ^ mix(content.view(np.uint64) + np.uint64(0x2545F4914F6CDD1D))).view(np.int64)
+
+
+def _settled(places: DataFrame, parts: int, length: int, crowd_at: int | None) -> DataFrame:
+    """Rows kind, text, start, size, grp / kind 0: a place that follows the two of its content; 1: one of these (size is its mark); 2: a crowded key (size is the key)."""
 
     def run(batches):
         p = _gather(batches)
@@ -166,23 +172,21 @@ def _settled(places: DataFrame, parts: int, length: int) -> DataFrame:
         p = {n: x[place] for n, x in p.items()}
         new_content = np.concatenate(([True], ~same("key", "content")))
         new_key = np.concatenate(([True], p["key"][1:] != p["key"][:-1]))
-        group = np.cumsum(new_content) - 1
-        copies = np.bincount(group)[group]
-        contents = np.bincount((np.cumsum(new_key) - 1)[new_content])[np.cumsum(new_key) - 1]
-        covered = copies > 1
-        crowd = new_key & (contents > CROWD)
-        candidate = new_content & (contents > 1) & (contents <= CROWD)
-        mark = _mark(p["text"], p["start"])
+        of_key = np.cumsum(new_key) - 1
+        first = np.flatnonzero(new_content)
+        rank = np.arange(len(new_content)) - first[np.cumsum(new_content) - 1]  # among the places of a content
+        several = np.bincount(of_key)[of_key] > 1
+        many = np.bincount(of_key[new_content])[of_key] > crowd_at if crowd_at else np.zeros(len(of_key), bool)
+        grp = _group(p["key"], p["content"])
         rows = []
-        for kind, some, size in ((0, covered, p["windows"] + length - 1), (1, candidate, mark), (2, crowd, p["key"])):
-            n = int(some.sum())
-            rows.append((np.full(n, kind), p["text"][some], p["start"][some], size[some]))
-        kind, text, start, size = (np.concatenate([r[i] for r in rows]) for i in range(4))
+        for kind, some, size in ((0, several & ~many & (rank > 1), p["windows"] + length - 1), (1, several & ~many & (rank < 2), _mark(p["text"], p["start"])), (2, new_key & many, p["key"])):
+            rows.append((np.full(int(some.sum()), kind), p["text"][some], p["start"][some], size[some], grp[some]))
+        kind, text, start, size, grp = (np.concatenate([r[i] for r in rows]) for i in range(5))
         for s in range(0, len(kind), 1 << 16):
             e = s + (1 << 16)
-            yield pa.RecordBatch.from_arrays([pa.array(kind[s:e].astype(np.int32)), pa.array(text[s:e]), pa.array(start[s:e]), pa.array(size[s:e])], names=["kind", "text", "start", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(kind[s:e].astype(np.int32)), *[pa.array(x[s:e]) for x in (text, start, size, grp)]], names=["kind", "text", "start", "size", "grp"])
 
-    return places.repartition(parts, "bucket").mapInArrow(run, "kind int, text long, start long, size long")
+    return places.repartition(parts, "bucket").mapInArrow(run, "kind int, text long, start long, size long, grp long")
 
 
 def _mark(text: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -218,93 +222,94 @@ def remove_repeats(df: DataFrame, *, length: int = LENGTH) -> DataFrame:
     copied = durable(sized.where("copies > 1").select("key", "n"))
     parts = max(parts, sized.count() // 10_000)
 
-    def places(batches):
-        """Places of every run of the batch's distinct texts."""
-        for batch in batches:
-            seen: set[int] = set()
-            for _, keys, data, offsets in _chunks(batch):
-                fresh = np.array([k not in seen and not seen.add(k) for k in keys.tolist()], bool)
-                r = Runs(data, offsets, length)
-                ok = fresh[r.owner]
-                out = _deal({"key": r.key[ok], "content": r.content[ok], "text": keys[r.owner[ok]], "start": (r.start - offsets[r.owner])[ok], "windows": r.windows[ok]}, parts * 4)
-                if out:
-                    yield out
-
-    settled = durable(_settled(texts.mapInArrow(places, _PLACES), parts, length))
-    marks, crowds = _bits(settled.where("kind = 1"), "size"), _bits(settled.where("kind = 2"), "size")
-    any_crowd = not settled.where("kind = 2").isEmpty()
-    covered = settled.where("kind = 0").select("text", "start", "size")
-
-    def candidates(batches):
-        for batch in batches:
-            seen: set[int] = set()
-            rows = []
-            for _, keys, data, offsets in _chunks(batch):
-                fresh = np.array([k not in seen and not seen.add(k) for k in keys.tolist()], bool)
-                r = Runs(data, offsets, length)
-                local = r.start - offsets[r.owner]
-                ok = np.flatnonzero(fresh[r.owner] & _has(marks.value, _mark(keys[r.owner], local)))
-                for i in ok.tolist():
-                    s = int(r.start[i])
-                    rows.append((int(r.key[i]), int(keys[r.owner[i]]), int(local[i]), data[s : s + int(r.windows[i]) + length - 1].tobytes()))
-            if rows:
-                k, t, s, b = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(t, pa.int64()), pa.array(s, pa.int64()), pa.array(b, pa.binary())], names=["key", "text", "start", "run"])
+    def runs(batch: pa.RecordBatch, crowds=None):
+        """Runs of the batch's distinct texts, or with ``crowds`` (a bitmap of keys) each window of the runs that it lets through, a chunk at a time; and the bytes."""
+        seen: set[int] = set()
+        for _, keys, data, offsets in _chunks(batch):
+            fresh = np.array([k not in seen and not seen.add(k) for k in keys.tolist()], bool)
+            r = Runs(data, offsets, length)
+            at, windows, owner, key, content = r.start, r.windows, r.owner, r.key, r.content
+            ok = np.flatnonzero(fresh[owner] & (True if crowds is None else _has(crowds.value, key)))
+            if crowds is None:
+                at, windows, owner, key, content = at[ok], windows[ok], owner[ok], key[ok], content[ok]
+            else:
+                owner = np.repeat(owner[ok], windows[ok])
+                at = np.repeat(at[ok], windows[ok]) + np.arange(len(owner)) - np.repeat(np.cumsum(windows[ok]) - windows[ok], windows[ok])
+                windows, key, content = np.ones(len(at), np.int64), span_hash(r.prefix, at, at + length).view(np.int64), r.hash_of(at, at + length)
+            yield data, at, {"key": key, "content": content, "text": keys[owner], "start": at - offsets[owner], "windows": windows}
+
+    def places_of(crowds=None):
+        def run(batches):
+            for batch in batches:
+                for _, _, cols in runs(batch, crowds):
+                    if out := _deal(cols, parts * 4):
+                        yield out
+
+        return texts.mapInArrow(run, _PLACES)
+
+    def candidates_of(marks, crowds=None):
+        """The bytes of the places that stand for a content."""
+
+        def run(batches):
+            for batch in batches:
+                for data, at, cols in runs(batch, crowds):
+                    ok = np.flatnonzero(_has(marks.value, _mark(cols["text"], cols["start"])))
+                    if not len(ok):
+                        continue
+                    size = cols["windows"][ok] + length - 1
+                    held = [data[s : s + n].tobytes() for s, n in zip(at[ok].tolist(), size.tolist(), strict=True)]
+                    grp = _group(cols["key"][ok], cols["content"][ok])
+                    yield pa.RecordBatch.from_arrays([*[pa.array(cols[n][ok]) for n in ("key", "text", "start")], pa.array(grp), pa.array(held, pa.binary())], names=["key", "text", "start", "grp", "run"])
+
+        return texts.mapInArrow(run, "key long, text long, start long, grp long, run binary")
 
     def sort(batches):
+        """Covered spans of the runs; and, as rows of no size, the contents that are covered whole."""
         now, size, held = None, 0, {}
 
         def solve():
-            ids, runs = list(held), list(held.values())
-            n = np.array([len(x) for x in runs])
+            ids, found = list(held), [x[0] for x in held.values()]
+            n = np.array([len(x) for x in found])
             base = np.cumsum(n) - n
             windows = n - length + 1
             owner = np.repeat(np.arange(len(n)), windows)
             starts = base[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-            hit = repeated(np.frombuffer(b"".join(runs), np.uint8), starts, length)
+            hit = repeated(np.frombuffer(b"".join(found), np.uint8), starts, length)
             at, who = (starts - base[owner])[hit], owner[hit]
             if len(at):
                 cut = np.flatnonzero(np.concatenate(([True], (np.diff(at) != 1) | (np.diff(who) != 0))))
                 stop = np.append(cut[1:], len(at)) - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[w][0] for w in who[cut]], pa.int64()), pa.array([ids[w][1] + int(a) for w, a in zip(who[cut], at[cut], strict=True)], pa.int64()), pa.array(at[stop] - at[cut] + length, pa.int64())],
-                    names=["text", "start", "size"],
-                )
+                text = np.array([i[0] for i in ids], np.int64)
+                first = np.array([i[1] for i in ids], np.int64)
+                whole = np.flatnonzero(np.bincount(who, minlength=len(n)) == windows)
+                grp = np.unique(np.array([x[1] for x in held.values()], np.int64)[whole])
+                none, gone = np.zeros(len(grp), np.int64), np.zeros(len(cut), np.int64)
+                cols = [(text[who[cut]], none), (first[who[cut]] + at[cut], none), (at[stop] - at[cut] + length, none), (gone, grp)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in cols], names=["text", "start", "size", "grp"])
 
         for batch in batches:
-            for key, text, start, run in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "start", "run")), strict=True):
+            for key, text, start, grp, run in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "start", "grp", "run")), strict=True):
                 if key != now and size >= SORTED_AT_ONCE:
                     yield from solve()
                     size, held = 0, {}
                 now = key
                 if (text, start) not in held:
-                    held[text, start] = run
+                    held[text, start] = (run, grp)
                     size += len(run)
         if held:
             yield from solve()
 
-    span = "text long, start long, size long"
-    runs = texts.mapInArrow(candidates, "key long, text long, start long, run binary")
-    found = covered.unionByName(runs.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(sort, span))
-
-    if any_crowd:
-
-        def windows(batches):
-            """Each window of crowded runs as a run of its own."""
-            for batch in batches:
-                seen: set[int] = set()
-                for _, keys, data, offsets in _chunks(batch):
-                    fresh = np.array([k not in seen and not seen.add(k) for k in keys.tolist()], bool)
-                    r = Runs(data, offsets, length)
-                    ok = np.flatnonzero(fresh[r.owner] & _has(crowds.value, r.key))
-                    owner = np.repeat(r.owner[ok], r.windows[ok])
-                    at = np.repeat(r.start[ok], r.windows[ok]) + np.arange(len(owner)) - np.repeat(np.cumsum(r.windows[ok]) - r.windows[ok], r.windows[ok])
-                    whole = span_hash(r.prefix, at, at + length).view(np.int64)
-                    out = _deal({"key": whole, "content": r.hash_of(at, at + length), "text": keys[owner], "start": at - offsets[owner], "windows": np.ones(len(at), np.int64)}, parts * 4)
-                    if out:
-                        yield out
-
-        found = found.unionByName(_settled(texts.mapInArrow(windows, _PLACES), parts, length).where("kind = 0").select("text", "start", "size"))
+    def covered(settled: DataFrame, crowds=None) -> DataFrame:
+        marks = _bits(settled.where("kind = 1"), "size")
+        done = durable(candidates_of(marks, crowds).repartition(parts, "key").sortWithinPartitions("key").mapInArrow(sort, "text long, start long, size long, grp long"))
+        follow = settled.where("kind = 0").join(done.where("size = 0").select("grp").distinct(), "grp", "left_semi")
+        return done.where("size > 0").select("text", "start", "size").unionByName(follow.select("text", "start", "size"))
+
+    settled = durable(_settled(places_of(), parts, length, CROWD))
+    found = covered(settled)
+    if not settled.where("kind = 2").isEmpty():
+        crowds = _bits(settled.where("kind = 2"), "size")
+        found = found.unionByName(covered(durable(_settled(places_of(crowds), parts, length, None)), crowds))
     whole = copied.select(F.col("key").alias("text"), F.lit(0).cast("long").alias("start"), F.col("n").alias("size"))
     found = durable(found.unionByName(whole))
     touched = _bits(found.select("text"), "text")
