@@ -123,3 +123,24 @@ def test_log_checkpoints(spark, tmp_path, monkeypatch):
     assert again.read().count() == 5 and again.version() == 5 and sum(n.endswith(".json") for n in read) == 0
     again.commits()
     assert len(read) == 1  # one checkpoint, of all six commits
+
+
+def test_a_merge_writes_only_the_buckets_it_touches(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.versioned import BUCKETS, VersionedTable
+
+    t = VersionedTable(spark, str(tmp_path / "s")).create("k int, v string, _start_lsn string, _commit_ts timestamp_ntz", {BUCKETS: "8"})
+    images = spark.range(200).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v"), F.lit("0x1").alias("_start_lsn"), F.lit(None).cast("timestamp_ntz").alias("_commit_ts"), F.lit(2).alias("_operation"))
+    t.merge_images(images, ["k"])
+    before = t._paths(None)
+    assert len(before) == 8 and t.read().count() == 200
+    one = images.where("k = 5").withColumns({"v": F.lit("b"), "_start_lsn": F.lit("0x2")})
+    gone = images.where("k = 6").withColumns({"_operation": F.lit(1), "_start_lsn": F.lit("0x2")})
+    t.merge_images(one.unionByName(gone), ["k"])
+    assert 6 <= len(set(before) & set(t._paths(None))) < 8
+    got = {r["k"]: r["v"] for r in t.read().collect()}
+    assert len(got) == 199 and got[5] == "b" and 6 not in got and t.read(1).count() == 200
+    t.merge_images(images.limit(0), ["k"])
+    t.merge_images(images.where("k = 1"), ["k"], rebuild=True)
+    assert [r["k"] for r in t.read().collect()] == [1]

@@ -22,7 +22,7 @@ from ..plans.chunks import count_slices, integer_chunks, keyset_bounds, pause, w
 from ..sources import sidefiles
 from ..sources.feed import Store, register, stamp
 from ..sources.migrations import migrate
-from ..sources.versioned import VersionedTable
+from ..sources.versioned import BUCKETS, VersionedTable
 from . import finality, lock
 from .sink import bronze_writer, write_facts
 
@@ -192,8 +192,8 @@ class Applied:
     finalized_until: datetime | None = None
 
 
-def apply_changes(spark: SparkSession, tables: Tables, *, instances: list[str], keys: list[str]) -> Applied:
-    """Fold what bronze gained since the last call into silver.
+def apply_changes(spark: SparkSession, tables: Tables, *, instances: list[str], keys: list[str], buckets: int = 16) -> Applied:
+    """Fold what bronze gained since the last call into silver, which is created with so many ``buckets`` of keys.
 
     The verdict and the position are read before bronze is pinned, so silver never claims more than
     it holds; the position is recorded after the merge, so a crash repeats work that changes nothing.
@@ -216,7 +216,7 @@ def apply_changes(spark: SparkSession, tables: Tables, *, instances: list[str],
     rebuild = newest is not None and newest > (mine.get("snapshot_lsn") or "") or (applied is None and not opened)
     silver = VersionedTable(spark, tables.silver)
     names = ", ".join(f"{K.quoted(c)} {log.schema[c].dataType.simpleString()}" for c in captured_)
-    silver.create(f"{names}, _start_lsn string, _commit_ts timestamp_ntz").add_columns(names)
+    silver.create(f"{names}, _start_lsn string, _commit_ts timestamp_ntz", {BUCKETS: str(buckets)}).add_columns(names)
     later = changelog.changes_after(log, newest or lsn.ZERO) if rebuild else changelog.changes_after(log, applied or lsn.ZERO)
     if rebuild and newest:
         snap = log.where((F.col("_operation") == 0) & (F.coalesce("_snapshot", "_start_lsn") == newest))
