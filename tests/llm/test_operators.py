@@ -132,11 +132,65 @@ def test_ann_few_and_none(spark):
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
 
 
-def test_second_hash_refines_the_first():
+def test_further_hashes_refine_the_first():
     x = np.random.default_rng(1).normal(size=(50, 16))
-    fine = ann.CrossPolytope(0, 16, 4)
-    assert (fine.hash(x) // 8 == ann.CrossPolytope(0, 16).hash(x)).all()
-    assert all(h in p for h, p in zip(fine.hash(x), fine.probes(x, 5), strict=True))
+    plain, fine, finer = ann.CrossPolytope(0, 16), ann.CrossPolytope(0, 16, (4,)), ann.CrossPolytope(0, 16, (4, 2))
+    assert (fine.hash(x) // 8 == plain.hash(x)).all() and (finer.hash(x) // 4 == fine.hash(x)).all()
+    for h in (plain, fine, finer):
+        near = h.probes(x, 5)
+        assert all(b in p for b, p in zip(h.hash(x), near, strict=True)) and all(len(set(p)) == 5 for p in near.tolist())
+    assert ann.refinements(64, 100) == [] and ann.refinements(64, 128 * 3 * 1000) == [64, 2] and ann.tables_of(1000) == ann.TABLES < ann.tables_of(1 << 24)
+
+
+def test_codes_bound_the_cosine():
+    rng = np.random.default_rng(2)
+    u, v = ann.unit(rng.normal(size=(40, 24))), ann.unit(rng.normal(size=(60, 24)) ** 5)
+    rough, off = ann.bounds(ann.Codes.of(u), ann.Codes.of(v))
+    assert (np.abs(u @ v.T - rough) <= off).all() and off.max() < 0.1
+    rep, ids = np.repeat([7, 8], 50), np.tile(np.arange(50), 2)
+    r = rng.normal(size=100)
+    keep = ann.possible(rep, ids, r, np.full(100, 0.05), 3)
+    for q in (7, 8):
+        best = set(ids[rep == q][np.argsort(-r[rep == q])[:3]].tolist())
+        assert best <= set(ids[keep][rep[keep] == q].tolist())
+
+
+@pytest.mark.parametrize("crowd", [ann.SLICE, 20])
+def test_ann_recall_on_clusters_and_crowded_buckets(spark, monkeypatch, crowd):
+    """A third of all vectors near one point, others at random; the second time its buckets are dealt to several tasks."""
+    monkeypatch.setattr(ann, "SLICE", crowd)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 32)).astype(np.float32)
+    x[:1000] = x[0] + 0.05 * rng.normal(size=(1000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, vector array<float>").repartition(3)
+    got = {}
+    for r in ann.search(df, df.where("vec_id % 50 = 0")).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    u = ann.unit(x.astype(np.float64))
+    hit = 0
+    for q in range(0, 3000, 50):
+        c = u @ u[q]
+        c[q] = -9
+        hit += len(got[q] & set(np.argsort(-c)[:5].tolist()))
+    assert hit >= 0.9 * 5 * 60
+
+
+def test_ann_recall_on_the_registered_table(spark):
+    import duckdb
+
+    data = "/root/testdata/sf0.1"
+    rows = duckdb.connect().sql(f"SELECT vec_id, embedding FROM '{data}/embeddings.parquet' WHERE embedding IS NOT NULL").fetchall()
+    ids, x = np.array([r[0] for r in rows]), ann.unit(np.array([r[1] for r in rows], np.float64))
+    got = {}
+    for r in ann.op3_ann(spark, data).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hit = n = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        c = x @ x[q]
+        c[q] = -9
+        hit += len(got[ids[q]] & set(ids[np.argsort(-c)[:5]].tolist()))
+        n += 5
+    assert hit >= 0.9 * n
 
 
 # 4

@@ -2,8 +2,12 @@
 
 A pseudo-rotation (random signs and a fast Hadamard transform, three times) turns a unit vector;
 its hash is the nearest signed axis. Several tables hash independently. A query probes, in each
-table, the buckets of its nearest axes, and every candidate found is ranked by its exact cosine.
-For large inputs a second, shorter hash refines the buckets, so their mean size stays the same.
+table, a fixed number of buckets, those of its nearest axes. Further, shorter hashes refine the
+buckets as the input grows, so that their mean size stays the same, and so does what a query visits
+in a table; the number of tables grows as the fourth root of the input.
+
+Vectors travel as codes of a byte a component. These bound the cosine from both sides, and what
+could be among the nearest by these bounds, all of it, is ranked by its exact cosine.
 """
 
 from __future__ import annotations
@@ -14,15 +18,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import durable
+from .shared import durable, mix
 
-TABLES = 8
-#: Of each table's buckets, the share that a query probes.
-PROBED = 10 / 128
-#: Mean vectors of a bucket beyond which the second hash comes in.
-BUCKET = 2048
-#: Vectors of a bucket that go to one task; larger buckets are dealt by vec_id.
+#: Tables of an input of at most BASE vectors.
+TABLES = 12
+BASE = 1 << 16
+#: Buckets of a table that a query probes.
+PROBES = 96
+#: Vectors that a bucket holds on average.
+BUCKET = 3
+#: Vectors of a bucket beyond which it is dealt to several tasks, and positions of the bitmap that tells such buckets.
 SLICE = 4096
+HOT_BITS = 1 << 20
+#: Times a bucket must occur among the rows of an Arrow batch to be counted as one that may be crowded.
+OFTEN = 8
+#: Vectors that a task gets, on average.
+PER_TASK = 400_000
+#: Candidates that a task holds before it drops those that can't be among the nearest.
+HELD = 1_000_000
 NEIGHBOURS = 5
 
 
@@ -48,18 +61,31 @@ def rotate(x: np.ndarray, seed: int) -> np.ndarray:
     return y
 
 
+def refinements(width: int, n: int) -> list[int]:
+    """Axes of the further hashes (powers of two) for n vectors, so that buckets hold about BUCKET of them."""
+    axes = 1 << max(0, int(width - 1).bit_length())
+    want, out = n / (2 * axes * BUCKET), []
+    while want >= 2:
+        fine = max(1, min(axes, 1 << int(np.log2(want)) >> 1))
+        out.append(fine)
+        want /= 2 * fine
+    return out
+
+
+def tables_of(n: int) -> int:
+    return round(TABLES * max(1.0, n / BASE) ** 0.25)
+
+
 class CrossPolytope:
-    """Hashes of one table for vectors of ``width``; ``fine`` axes of a second rotation refine them (0: none)."""
+    """Hashes of one table for vectors of ``width``; each of ``fine`` is a number of axes of a further rotation that refines them."""
 
-    def __init__(self, table: int, width: int, fine: int = 0):
-        self.table, self.fine = table, fine
+    def __init__(self, table: int, width: int, fine: tuple[int, ...] = ()):
+        self.table, self.fine = table, tuple(fine)
         self.axes = 1 << max(0, int(width - 1).bit_length())
 
     def _sides(self, x: np.ndarray) -> list[np.ndarray]:
         """Projections on every signed axis, for each hash."""
-        out = [rotate(x, 2 * self.table)]
-        if self.fine:
-            out.append(rotate(x, 2 * self.table + 1)[:, : self.fine])
+        out = [rotate(x, 64 * self.table)] + [rotate(x, 64 * self.table + 1 + i)[:, :f] for i, f in enumerate(self.fine)]
         return [np.concatenate((y, -y), 1) for y in out]
 
     def hash(self, x: np.ndarray) -> np.ndarray:
@@ -69,14 +95,15 @@ class CrossPolytope:
         return out
 
     def probes(self, x: np.ndarray, n: int) -> np.ndarray:
-        """The n buckets nearest to each vector, by the summed shortfall of its projections."""
-        sides = self._sides(x)
-        n = min(n, int(np.prod([y.shape[1] for y in sides])))
-        loss = sides[0].max(1, keepdims=True) - sides[0]
-        if self.fine:
-            second = sides[1].max(1, keepdims=True) - sides[1]
-            loss = (loss[:, :, None] + second[:, None, :]).reshape(len(x), -1)
-        return np.argpartition(loss, n - 1, axis=1)[:, :n]
+        """The n buckets nearest to each vector, by the summed shortfall of its projections: the best n of every prefix of hashes hold them."""
+        place, loss = np.zeros((len(x), 1), np.int64), np.zeros((len(x), 1))
+        for y in self._sides(x):
+            short = y.max(1, keepdims=True) - y
+            both = (loss[:, :, None] + short[:, None, :]).reshape(len(x), -1)
+            at = np.argpartition(both, min(n, both.shape[1]) - 1, axis=1)[:, :n]
+            place = np.take_along_axis(place, at // y.shape[1], 1) * y.shape[1] + at % y.shape[1]
+            loss = np.take_along_axis(both, at, 1)
+        return place
 
 
 def usable(vector: Column) -> Column:
@@ -130,74 +157,193 @@ def _batch(found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     )
 
 
-def _probe(queries: DataFrame, rows: DataFrame, n: int, k: int) -> DataFrame:
-    """rep, vec_id, score: the k best of every bucket that a query probes."""
+class Codes:
+    """Unit vectors as a byte a component with a scale, and how far each is from what its code says."""
+
+    def __init__(self, code: np.ndarray, scale: np.ndarray, err: np.ndarray):
+        self.code, self.scale, self.err = code, scale, err
+
+    @classmethod
+    def of(cls, u: np.ndarray) -> Codes:
+        scale = np.maximum(np.abs(u).max(1), 1e-300) / 127
+        code = np.rint(u / scale[:, None]).astype(np.int8)
+        return cls(code, scale, np.sqrt(((u - code * scale[:, None]) ** 2).sum(1)) + 1e-12)
+
+    def take(self, at: np.ndarray) -> Codes:
+        return Codes(self.code[at], self.scale[at], self.err[at])
+
+    def blobs(self, at: np.ndarray) -> list[bytes]:
+        return [self.code[at].tobytes(), self.scale[at].tobytes(), self.err[at].tobytes()]
+
 
-    def fine(width: int) -> int:
-        """Axes of the second hash, so that buckets hold about BUCKET vectors."""
-        axes = 2 << max(0, int(width - 1).bit_length())
-        want = n / (axes * BUCKET)
-        return 0 if want < 2 else min(axes // 2, 1 << int(np.log2(want)) >> 1)
+def bounds(q: Codes, x: Codes) -> tuple[np.ndarray, np.ndarray]:
+    """Cosines of the codes, and how far the vectors' can be from them: |q.x - q'.x'| <= e_q + e_x + e_q e_x for unit q, x."""
+    rough = (q.code.astype(np.float32) @ x.code.astype(np.float32).T).astype(np.float64) * q.scale[:, None] * x.scale[None, :]
+    return rough, q.err[:, None] + x.err[None, :] + q.err[:, None] * x.err[None, :] + 1e-9
+
+
+def possible(rep: np.ndarray, ids: np.ndarray, rough: np.ndarray, off: np.ndarray, k: int) -> np.ndarray:
+    """Places of the candidates (one of each rep and id) that may be among the k nearest of their rep: whose upper bound reaches the k-th greatest lower bound."""
+    order = np.lexsort((ids, rep))
+    order = order[np.concatenate(([True], (rep[order][1:] != rep[order][:-1]) | (ids[order][1:] != ids[order][:-1])))] if len(order) else order
+    by = order[np.lexsort((-(rough - off)[order], rep[order]))]
+    head = np.flatnonzero(np.concatenate(([True], rep[by][1:] != rep[by][:-1]))) if len(by) else by
+    size = np.diff(np.append(head, len(by)))
+    least = (rough - off)[by[np.minimum(head + k - 1, head + size - 1)]] if len(by) else np.zeros(0)
+    least = np.where(size >= k, least, -np.inf)
+    return by[(rough + off)[by] >= np.repeat(least, size)]
+
+
+_PACKED = "p long, side int, w int, keys binary, ids binary, code binary, scale binary, err binary, of binary"
+_NAMES = ["p", "side", "w", "keys", "ids", "code", "scale", "err", "of"]
+
+
+def _probe(queries: DataFrame, rows: DataFrame, n: int, k: int) -> DataFrame:
+    """rep, vec_id: what may be among the k nearest of each query, of all that its probes find."""
+    spark = rows.sparkSession
+    tables = tables_of(n)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * tables // PER_TASK))
+    spread = max(32, n * tables // (32 * PER_TASK))
 
     def by_width(batch: pa.RecordBatch):
-        """A batch in parts of vectors of one width: (part, matrix)."""
+        """A batch in parts of vectors of one width: (width, ids, unit vectors)."""
         width = np.array(batch.column("vector").value_lengths().to_pylist())
         for w in np.unique(width).tolist():
             part = batch.take(pa.array(np.flatnonzero(width == w)))
-            yield w, part, matrix(part.column("vector"))
+            yield w, part.column("vec_id").to_numpy(), unit(matrix(part.column("vector")))
+
+    def keyed(h: np.ndarray, t: int, w: int) -> np.ndarray:
+        """Buckets of all tables and widths in one space."""
+        return mix(h.astype(np.uint64) ^ mix(np.full(h.shape, (w << 20) + t, np.uint64)))
+
+    def hashed(w: int, u: np.ndarray) -> np.ndarray:
+        return np.stack([keyed(CrossPolytope(t, w, refinements(w, n)).hash(u), t, w) for t in range(tables)])
+
+    def often(batches):
+        for batch in batches:
+            for w, _, u in by_width(batch):
+                key, times = np.unique(hashed(w, u), return_counts=True)
+                some = times >= OFTEN
+                yield pa.RecordBatch.from_arrays([pa.array(key[some].view(np.int64)), pa.array(times[some])], names=["key", "n"])
+
+    crowded = rows.mapInArrow(often, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > SLICE)
+    at = crowded.select(F.pmod("key", F.lit(HOT_BITS)).alias("at")).distinct().toArrow().column("at").to_numpy()  # at most HOT_BITS rows
+    hot_bits = np.zeros(HOT_BITS, bool)
+    hot_bits[at] = True
+    hot = spark.sparkContext.broadcast(hot_bits)
+
+    def pack(side: int, w: int, keys: np.ndarray, salt: np.ndarray, of: np.ndarray, ids: np.ndarray, codes: Codes):
+        """A row for each task: its keys, whose vector each is of, and these vectors once."""
+        p = (mix(keys + mix(salt.astype(np.uint64) + np.uint64(1))) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(p, kind="stable")
+        cut = np.flatnonzero(np.diff(p[order], prepend=-1))
+        out = []
+        for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(p)], strict=True):
+            mine = order[s:e]
+            vectors, place = np.unique(of[mine], return_inverse=True)
+            out.append((int(p[mine[0]]), side, w, keys[mine].tobytes(), ids[vectors].astype(np.int64).tobytes(), *codes.blobs(vectors), place.astype(np.int32).tobytes()))
+        kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 6]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=_NAMES)
+
+    def crowd_of(keys: np.ndarray) -> np.ndarray:
+        return hot.value[(keys % np.uint64(HOT_BITS)).astype(np.int64)]
 
     def index(batches):
         for batch in batches:
-            for w, part, x in by_width(batch):
-                u = unit(x)
-                for t in range(TABLES):
-                    h = CrossPolytope(t, w, fine(w)).hash(u)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), w * TABLES + t)), pa.array(h), part.column("vec_id"), part.column("vector")], names=["t", "h", "id", "vector"])
+            for w, ids, u in by_width(batch):
+                keys = hashed(w, u).reshape(-1)
+                of = np.tile(np.arange(len(ids)), tables)
+                salt = np.where(crowd_of(keys), ids[of] % spread, 0)
+                yield pack(1, w, keys, salt, of, ids, Codes.of(u))
 
     def ask(batches):
         for batch in batches:
-            for w, part, x in by_width(batch):
-                u = unit(x)
-                for t in range(TABLES):
-                    cp = CrossPolytope(t, w, fine(w))
-                    most = 2 * cp.axes * (2 * cp.fine or 1)
-                    p = cp.probes(u, max(1, round(PROBED * most)))
-                    again = pa.array(np.repeat(np.arange(len(u)), p.shape[1]))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(p.size, w * TABLES + t)), pa.array(p.reshape(-1).astype(np.int64)), part.column("vec_id").take(again), part.column("vector").take(again)], names=["t", "h", "id", "vector"]
-                    )
-
-    kind = "t long, h long, id long, vector array<double>"
-    indexed, asked = rows.mapInArrow(index, kind), queries.mapInArrow(ask, kind)
-    sizes = indexed.groupBy("t", "h").agg(F.count("*").alias("n")).where(F.col("n") > SLICE).select("t", "h", F.ceil(F.col("n") / SLICE).cast("int").alias("slices"))
-    slices = F.coalesce("slices", F.lit(1))
-    dealt = indexed.join(sizes, ["t", "h"], "left").select("t", "h", F.pmod("id", slices).cast("int").alias("s"), F.lit(1).alias("side"), "id", "vector")
-    spread = asked.join(sizes, ["t", "h"], "left").select("t", "h", F.explode(F.sequence(F.lit(0), slices - 1)).alias("s"), F.lit(0).alias("side"), "id", "vector")
+            for at in range(0, batch.num_rows, 1024):
+                for w, ids, u in by_width(batch.slice(at, 1024)):
+                    found = [keyed(CrossPolytope(t, w, refinements(w, n)).probes(u, PROBES), t, w) for t in range(tables)]
+                    keys = np.concatenate([f.reshape(-1) for f in found])
+                    of = np.concatenate([np.repeat(np.arange(len(ids)), f.shape[1]) for f in found])
+                    again = np.where(crowd_of(keys), spread, 1)  # a crowded bucket is asked in every task that holds a part of it
+                    salt = np.arange(again.sum()) - np.repeat(np.cumsum(again) - again, again)
+                    yield pack(0, w, np.repeat(keys, again), salt, np.repeat(of, again), ids, Codes.of(u))
 
     def meet(batches):
-        """Rows come by bucket, queries first; a bucket's vectors are ranked a batch at a time."""
-        now, q, qid = None, [], []
+        held: dict[tuple[int, int], list[list[np.ndarray]]] = {}
+        for batch in batches:
+            for _, side, w, *blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                kinds = (np.uint64, np.int64, np.int8, np.float64, np.float64, np.int32)
+                keys, ids, code, scale, err, of = (np.frombuffer(b, t) for b, t in zip(blobs, kinds, strict=True))
+                held.setdefault((w, side), []).append([keys, ids, code.reshape(len(ids), -1), scale, err, of])
+        rep, vec, rough, off = (np.zeros(0, t) for t in (np.int64, np.int64, np.float64, np.float64))
+        new: list[list[np.ndarray]] = []
+
+        def fold():
+            nonlocal rep, vec, rough, off
+            rep, vec, rough, off = (np.concatenate([x, *y]) for x, y in zip((rep, vec, rough, off), zip(*new, strict=True), strict=True)) if new else (rep, vec, rough, off)
+            new.clear()
+            keep = possible(rep, vec, rough, off, k)
+            rep, vec, rough, off = rep[keep], vec[keep], rough[keep], off[keep]
+
+        def joined(parts_: list[list[np.ndarray]]):
+            sizes = np.cumsum([0, *[len(x[1]) for x in parts_]])
+            of = np.concatenate([x[5] + b for x, b in zip(parts_, sizes[:-1].tolist(), strict=True)])
+            keys, ids = np.concatenate([x[0] for x in parts_]), np.concatenate([x[1] for x in parts_])
+            order = np.argsort(keys, kind="stable")
+            return keys[order], of[order], ids, Codes(*(np.concatenate([x[i] for x in parts_]) for i in (2, 3, 4)))
+
+        for w in {w for w, side in held if side == 0 and (w, 1) in held}:
+            qk, qo, qid, qc = joined(held[w, 0])
+            xk, xo, xid, xc = joined(held[w, 1])
+            start = np.flatnonzero(np.concatenate(([True], qk[1:] != qk[:-1])))
+            lo, hi = np.searchsorted(xk, qk[start], "left"), np.searchsorted(xk, qk[start], "right")
+            size = 0
+            for s, e, a, b in zip(start.tolist(), [*start[1:].tolist(), len(qk)], lo.tolist(), hi.tolist(), strict=True):
+                if a == b:
+                    continue
+                q, x = qo[s:e], xo[a:b]
+                r, o = bounds(qc.take(q), xc.take(x))
+                if r.shape[1] > k:  # of a large bucket only what can be among its own k nearest
+                    least = np.partition(r - o, r.shape[1] - k, axis=1)[:, r.shape[1] - k]
+                    i, j = np.nonzero(r + o >= least[:, None])
+                else:
+                    i, j = np.indices(r.shape).reshape(2, -1)
+                new.append([qid[q[i]], xid[x[j]], r[i, j], o[i, j]])
+                size += len(i)
+                if size > HELD:
+                    fold()
+                    size = 0
+        fold()
+        if len(rep):
+            yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(vec), pa.array(rough), pa.array(off)], names=["rep", "vec_id", "rough", "off"])
+
+    def last(batches):
+        """The same over what all tasks found for a query."""
+        got = [[c.to_numpy() for c in b.columns] for b in batches]
+        if got:
+            rep, vec, rough, off = (np.concatenate(c) for c in zip(*got, strict=True))
+            keep = possible(rep, vec, rough, off, k)
+            yield pa.RecordBatch.from_arrays([pa.array(rep[keep]), pa.array(vec[keep])], names=["rep", "vec_id"])
+
+    both = rows.mapInArrow(index, _PACKED).unionByName(queries.mapInArrow(ask, _PACKED))
+    found = both.repartition(parts, "p").mapInArrow(meet, "rep long, vec_id long, rough double, off double")
+    return found.repartition(parts, "rep").mapInArrow(last, "rep long, vec_id long")
+
+
+def _ranked(pairs: DataFrame, queries: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs with their exact cosine; each pair fetches both vectors once."""
+    q = queries.select(F.col("vec_id").alias("rep"), F.col("vector").alias("q"))
+    x = rows.select("vec_id", F.col("vector").alias("x"))
+
+    def run(batches):
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("t", "h", "s", "side")], 1)
-            cuts = np.flatnonzero(np.any(np.diff(keys, axis=0, prepend=keys[:1] - 1) != 0, 1))
-            found = []
-            for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)], strict=True):
-                key, side = tuple(keys[s, :3].tolist()), keys[s, 3]
-                if key != now:
-                    now, q, qid = key, [], []
-                ids, part = batch.column("id").slice(s, e - s).to_numpy(), batch.column("vector").slice(s, e - s)
-                if side == 0:
-                    q.append(matrix(part))
-                    qid.append(ids)
-                elif q:
-                    if len(q) > 1:
-                        q, qid = [np.concatenate(q)], [np.concatenate(qid)]
-                    found += [(i, v, c) for i, (v, c) in zip(qid[0].tolist(), nearest(q[0], matrix(part), ids, k), strict=True)]
-            if found:
-                yield _batch(found)
-
-    both = dealt.unionByName(spread)
-    return both.repartition("t", "h", "s").sortWithinPartitions("t", "h", "s", "side").mapInArrow(meet, _FOUND)
+            a, b = batch.column("q"), batch.column("x")
+            width, other = np.array(a.value_lengths().to_pylist()), np.array(b.value_lengths().to_pylist())
+            for w in np.unique(width).tolist():
+                at = pa.array(np.flatnonzero((width == w) & (other == w)))
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([batch.column("rep").take(at), batch.column("vec_id").take(at), pa.array(cosines(matrix(a.take(at)), matrix(b.take(at))))], names=["rep", "vec_id", "score"])
+
+    return pairs.join(x, "vec_id").join(q, "rep").select("rep", "vec_id", "q", "x").mapInArrow(run, _FOUND)
 
 
 def _scan(queries: DataFrame, rows: DataFrame, k: int, block: int = 1024) -> DataFrame | None:
@@ -247,7 +393,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = NEIGHBOURS) -> Da
     reps = asked.groupBy("vector").agg(F.min("vec_id").alias("vec_id"))
     reps = durable(reps)
     members = asked.join(reps.withColumnRenamed("vec_id", "rep"), "vector").select(F.col("vec_id").alias("query_id"), "rep")
-    found = durable(_top(_probe(reps, rows, rows.count(), k + 1), k + 1))
+    found = durable(_top(_ranked(_probe(reps, rows, rows.count(), k + 1), reps, rows), k + 1))
     enough = found.groupBy("rep").agg(F.count("*").alias("n")).where(F.col("n") >= k + 1).select(F.col("rep").alias("vec_id"))
     more = _scan(durable(reps.join(enough, "vec_id", "left_anti")), rows, k + 1)
     if more is not None:
