@@ -21,10 +21,10 @@ from pyspark.sql.window import Window
 from .shared import durable, mix
 
 #: Tables of an input of at most BASE vectors.
-TABLES = 12
+TABLES = 16
 BASE = 1 << 16
 #: Buckets of a table that a query probes.
-PROBES = 96
+PROBES = 144
 #: Vectors that a bucket holds on average.
 BUCKET = 3
 #: Vectors of a bucket beyond which it is dealt to several tasks, and positions of the bitmap that tells such buckets.
