@@ -302,7 +302,11 @@ def remove_repeats(df: DataFrame, *, length: int = LENGTH) -> DataFrame:
     def covered(settled: DataFrame, crowds=None) -> DataFrame:
         marks = _bits(settled.where("kind = 1"), "size")
         done = durable(candidates_of(marks, crowds).repartition(parts, "key").sortWithinPartitions("key").mapInArrow(sort, "text long, start long, size long, grp long"))
-        follow = settled.where("kind = 0").join(done.where("size = 0").select("grp").distinct(), "grp", "left_semi")
+        follow = settled.where("kind = 0")
+        # Contents that the sort does not cover whole: none, but for two that share their hashes. Groups meet, not their places.
+        refused = durable(follow.select("grp").distinct().join(done.where("size = 0").select("grp").distinct(), "grp", "left_anti"))
+        if not refused.isEmpty():
+            follow = follow.join(refused, "grp", "left_anti")
         return done.where("size > 0").select("text", "start", "size").unionByName(follow.select("text", "start", "size"))
 
     settled = durable(_settled(places_of(), parts, length, CROWD))
