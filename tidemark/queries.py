@@ -326,10 +326,12 @@ def c15_clock_went_back(spark, d):
     return clock.went_back(t.select("start_lsn", F.col("day_ts").alias("commit_ts"))).select("start_lsn", "commit_ts")
 
 
-@query(f"SELECT a.app_id, a.batch_id, a.rows, v.verdict FROM (SELECT app_id, max(batch_id) AS batch_id, arg_max(rows, batch_id) AS rows FROM ({_FACTS}) WHERE event IS NULL GROUP BY app_id) a LEFT JOIN (SELECT 'even' AS app_id, TIMESTAMP '2024-01-05' AS verdict) v ON v.app_id = a.app_id")
+@query(f"SELECT a.app_id, a.batch_id, a.rows, v.verdict FROM (SELECT app_id, max(batch_id) AS batch_id, arg_max(rows, batch_id) AS rows FROM ({_FACTS}) WHERE event IS NULL GROUP BY app_id) a LEFT JOIN (SELECT app_id, date_trunc('day', max(max_commit_ts))::TIMESTAMP AS verdict FROM ({_FACTS}) WHERE event IS NULL AND app_id = 'even' GROUP BY app_id) v ON v.app_id = a.app_id")
 def c16_verdict_and_batch(spark, d):
-    verdict = spark.sql("select 'even' as app_id, timestamp_ntz '2024-01-05 00:00:00' as verdict")
-    return facts.last_batch(_facts(spark, d)).join(verdict, "app_id", "left")
+    """Each stream's newest batch beside the verdict of its control row, which one stream does not have yet."""
+    f = _facts(spark, d)
+    verdict = f.where("event is null and app_id = 'even'").groupBy("app_id").agg(F.date_trunc("day", F.max("max_commit_ts")).cast("timestamp_ntz").alias("verdict"))
+    return facts.last_batch(f).join(verdict, "app_id", "left")
 
 
 @query(f"SELECT s.batch_id, s.max_lsn, max(b.max_lsn) AS passed FROM ({_FACTS}) s LEFT JOIN ({_FACTS}) b ON b.target = s.target AND b.event IS NULL WHERE s.event = 'schema_change' GROUP BY 1, 2")
@@ -592,12 +594,18 @@ def j3_moved_keys(spark, d):
 # More of A to H
 
 
-@query("SELECT n_nationkey, n_name FROM nation")
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
 def a19_present_columns(spark, d):
-    """Of wanted columns, those that the table has and that aren't computed."""
-    nation = T.table(spark, d, "nation")
-    have, computed = {c.lower() for c in nation.columns}, {"n_regionkey"}
-    return nation.select(*[c for c in ("n_nationkey", "N_NAME", "n_regionkey", "n_gone") if c.lower() in have - computed]).withColumnRenamed("N_NAME", "n_name")
+    """Of the columns that change rows carry (here those of orders and of customer), those that the table has and does not compute."""
+    o = T.table(spark, d, "orders")
+    wanted = [*o.columns, *T.table(spark, d, "customer").columns]
+    return o.select(*present(wanted, o.columns, computed=[c for c in o.columns if c.endswith(("date", "custkey"))]))
+
+
+def present(wanted: list[str], have: list[str], *, computed: list[str] = ()) -> list[str]:
+    """Names of ``have`` that are wanted, ignoring case, in the order they are wanted; computed ones are left out."""
+    gone, by = {c.lower() for c in computed}, {c.lower(): c for c in have}
+    return [by[c.lower()] for c in wanted if c.lower() in by and c.lower() not in gone]
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey BETWEEN 500 AND 900 AND o_orderkey % 2 = 0")
@@ -617,10 +625,11 @@ def c6_source_side(spark, d):
     return s.join(t, F.col("c_name").eqNullSafe(F.col("k")), "left").select("c_name", "other")
 
 
-@query("SELECT b.bucket, b.rows, l.label FROM (SELECT o_orderkey // 512 AS bucket, count(*) AS rows FROM orders GROUP BY 1) b LEFT JOIN (VALUES (0, 'first'), (3, 'fourth')) l(bucket, label) ON b.bucket = l.bucket")
+@query("SELECT b.bucket, b.rows, l.n_name AS label FROM (SELECT o_custkey // 64 AS bucket, count(*) AS rows FROM orders GROUP BY 1) b LEFT JOIN nation l ON b.bucket = l.n_nationkey")
 def c9_bucket_labels(spark, d):
-    labels = spark.createDataFrame([(0, "first"), (3, "fourth")], "bucket bigint, label string")
-    return audit.buckets(T.table(spark, d, "orders"), "o_orderkey", "int", 512).select("bucket", "rows").join(F.broadcast(labels), "bucket", "left")  # two rows
+    """Buckets with a label from a table of names, which not every bucket has."""
+    labels = T.table(spark, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("bucket"), F.col("n_name").alias("label"))
+    return audit.buckets(T.table(spark, d, "orders"), "o_custkey", "int", 64).select("bucket", "rows").join(labels, "bucket", "left")
 
 
 @query(f"SELECT {_MEASURES} FROM log")
