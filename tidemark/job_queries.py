@@ -291,6 +291,95 @@ def f7_bucket_sample(spark, d):
     return spark.createDataFrame([(len(set(audit.pick([(b, "MATCH") for (b,) in found], 0.25, 7))),)], "chosen bigint")
 
 
+@query("SELECT n_nationkey, CASE WHEN n_regionkey = 1 THEN lower(n_name) || '!' ELSE lower(n_name) END AS n_name, n_regionkey, 1 AS schema_changes FROM nation WHERE n_regionkey <> 2")
+def s_simulator(spark, d):
+    """The file simulator: its first commits are purged, so the stream begins with a snapshot; then updates, deletes and a schema change."""
+    from datetime import datetime, timedelta
+
+    from .sources.capture import CaptureStore
+
+    nations = [(r["n_nationkey"], r["n_name"].lower(), r["n_regionkey"]) for r in T.table(spark, d, "nation").orderBy("n_nationkey").collect()]  # a fixed 25 rows
+    store = CaptureStore(work_folder(spark, "db").removeprefix("file://").removeprefix("file:"))
+    store.add_table("nation", [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")], ["n_nationkey"], "dbo_nation")
+    t, checkpoint = _tables(spark)
+    row = lambda k, n, r: {"n_nationkey": k, "n_name": n, "n_regionkey": r}
+    at = datetime(2026, 1, 1)
+    for i in range(5):
+        store.commit(at + timedelta(minutes=i), "nation", [("insert", row(*x)) for x in nations if x[2] == i])
+    store.cleanup("dbo_nation", lsn.after(store.newest()))
+    jobs.run_stream(spark, store, "nation", t, checkpoint, "s", bootstrap=True)
+    store.commit(at + timedelta(hours=1), "nation", [("update", row(k, n + "!", r)) for k, n, r in nations if r == 1])
+    store.commit(at + timedelta(hours=2), "nation", [("delete", row(*x)) for x in nations if x[2] == 2])
+    store.alter("nation", "ALTER TABLE nation ADD n_comment varchar(100)")
+    store.idle(at + timedelta(hours=3))
+    jobs.run_stream(spark, store, "nation", t, checkpoint, "s", bootstrap=True)
+    jobs.apply_changes(spark, t, instances=["dbo_nation"], keys=["n_nationkey"])
+    said = sum(e["event"] == "schema_change" for e in jobs.events_of(spark, t))
+    return VersionedTable(spark, t.silver).read().select("n_nationkey", "n_name", "n_regionkey").withColumn("schema_changes", F.lit(said))
+
+
+@query("SELECT max(start_lsn) AS lsn, date_trunc('day', max(commit_ts))::TIMESTAMP AS candidate FROM timeline")
+def a33_progress_offset(spark, d):
+    """The end of a stream's last batch by its progress report, and the verdict that this would give."""
+    f, (t, checkpoint) = _feed(spark, d), _tables(spark)
+    q = jobs.stream(spark, f, "events", t, checkpoint, "s")
+    q.awaitTermination()
+    end = finality.end_offset(json.loads(q.lastProgress.json))
+    return spark.createDataFrame([(end["lsn"], finality.candidate(end, "day"))], "lsn string, candidate timestamp_ntz")
+
+
+@query(f"""SELECT round((epoch_us(max(_commit_ts)) - (SELECT epoch_us(max(commit_ts)) FROM timeline WHERE start_lsn = CASE WHEN (SELECT max(start_lsn) FROM timeline) >= '{S}' THEN '{S}' ELSE '{T.pos(0)}' END)) / 3600000000, 2)::DOUBLE AS headroom,
+  0.0::DOUBLE AS lag, count(*) AS rows, true AS measured, max(_start_lsn) AS end_lsn FROM log""")
+def h19_measured_batch(spark, d):
+    """What a batch was measured for: headroom over the purged end, lag behind the newest commit, and that reads were timed."""
+    f, (t, checkpoint) = _feed(spark, d), _tables(spark)
+    jobs.run_stream(spark, f, "events", t, checkpoint, "s")
+    known = F.col("read_seconds").isNotNull() & (F.col("read_mb") > 0) & F.col("source_rtt_ms").isNotNull() & (F.col("capture_lag_seconds") > 0)
+    return VersionedTable(spark, t.facts).read().where("event is null").select(F.col("retention_headroom_hours").alias("headroom"), F.col("ingestion_lag_seconds").alias("lag"), "rows", known.alias("measured"), "end_lsn")
+
+
+@query(f"SELECT user_id, value, _start_lsn, (SELECT count(*) FROM timeline WHERE start_lsn = '{T.pos(0)}') AS warnings FROM log")
+def i28_declared_columns(spark, d):
+    """Declared columns leave out what an instance captures besides, and the batch's facts say so."""
+    f, (t, checkpoint) = _feed(spark, d), _tables(spark)
+    jobs.run_stream(spark, f, "events", t, checkpoint, "s", options={"columns": "user_id bigint, value double"})
+    said = sum(len(json.loads(r["detail"])["warnings"]) for r in VersionedTable(spark, t.facts).read().where("event is null and detail is not null").collect())
+    return VersionedTable(spark, t.bronze).read().select("user_id", "value", "_start_lsn").withColumn("warnings", F.lit(said).cast("bigint"))
+
+
+@query(f"SELECT user_id, event_type, value FROM ({_IMAGE.format('')}) WHERE _operation NOT IN (1, 3) AND EXISTS (SELECT 1 FROM timeline WHERE start_lsn >= '{S}')")
+def i25_snapshot_on_switch(spark, d):
+    """After a batch that passed to the newer instance, a snapshot of the whole table."""
+    f, (t, checkpoint) = _with_table(spark, d, _feed(spark, d)), _tables(spark)
+    jobs.run_stream(spark, f, "events", t, checkpoint, "s", snapshot_on_switch="full")
+    return VersionedTable(spark, t.bronze).read().where("_operation = 0").select("user_id", "event_type", "value")
+
+
+@query("SELECT * FROM (VALUES ('b', 'chunked', true), ('b', 'full', false), ('c', 'chunked', false)) t(app_id, mode, allowed)")
+def i17_mode_lock(spark, d):
+    """Who may take which snapshot while a chunked one is open."""
+    f, (t, _) = _orders(spark, d, _feed(spark, d)), _tables(spark)
+    jobs.open_backfill(spark, f, "orders", t, "b", ["o_orderkey"], 5000)
+    events = jobs.events_of(spark, t)
+
+    def may(app: str, mode: str) -> bool:
+        try:
+            return lock.lock(events, mode, app) is not None
+        except lock.SnapshotOpen:
+            return False
+
+    return spark.createDataFrame([(a, m, may(a, m)) for a, m in (("b", "chunked"), ("b", "full"), ("c", "chunked"))], "app_id string, mode string, allowed boolean")
+
+
+@query("SELECT o_custkey, n, greatest(1, 60 // n)::INT AS rounds, n > 15 AS pause FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)")
+def i24_wave_sizes(spark, d):
+    """Rounds of a wave of a minute at a pace of so many seconds a round, and whether so little headroom pauses it."""
+    from .plans.chunks import pause, wave_rounds
+
+    found = _collected(T.table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")), "o_custkey")
+    return spark.createDataFrame([(k, n, wave_rounds(60, n), pause(40.0 - n, 0.0, 25.0)) for k, n in found], "o_custkey bigint, n bigint, rounds int, pause boolean")
+
+
 # Functions
 
 
@@ -319,6 +408,28 @@ def h21_type_fits(spark, d):
     return spark.createDataFrame(rows, "value string, into_ string, fits boolean")
 
 
+@query("""SELECT * FROM (VALUES ('bit', 'boolean'), ('tinyint', 'smallint'), ('smallint', 'smallint'), ('int', 'int'), ('bigint', 'bigint'), ('real', 'float'), ('float', 'double'), ('money', 'decimal(19,4)'), ('smallmoney', 'decimal(10,4)'),
+  ('decimal', 'decimal(9,3)'), ('numeric', 'decimal(9,3)'), ('date', 'date'), ('datetime', 'timestamp_ntz'), ('datetime2', 'timestamp_ntz'), ('smalldatetime', 'timestamp_ntz'), ('datetimeoffset', 'timestamp'), ('time', 'string'), ('nvarchar', 'string'),
+  ('uniqueidentifier', 'string'), ('varbinary', 'binary'), ('rowversion', 'binary'), ('geography', NULL)) t(source, spark)""")
+def h22_type_map(spark, d):
+    """Source types as Spark types; an unmapped one is an error unless its column is declared."""
+
+    def of(name: str) -> str | None:
+        try:
+            return types.spark_type(name, 9, 3)
+        except types.UnmappedType:
+            return None
+
+    names = "bit tinyint smallint int bigint real float money smallmoney decimal numeric date datetime datetime2 smalldatetime datetimeoffset time nvarchar uniqueidentifier varbinary rowversion geography"
+    return spark.createDataFrame([(n, of(n)) for n in names.split()], "source string, spark string")
+
+
+@query("SELECT n_name, '`' || replace(n_name || '`', '`', '``') || '`' AS quoted FROM nation")
+def h23_quoted_names(spark, d):
+    names = [n for (n,) in _collected(T.table(spark, d, "nation").select("n_name"), "n_name")]
+    return spark.createDataFrame([(n, keys.quoted(keys.identifier(n) + "`")) for n in names], "n_name string, quoted string")
+
+
 @query("SELECT event_id, ts - INTERVAL 1 HOUR * CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 1 ELSE 2 END AS utc FROM events")
 def i31_clock(spark, d):
     """A source's clock that was read anew: one fixed offset before, another after."""

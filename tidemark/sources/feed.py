@@ -118,6 +118,8 @@ class ChangeReader(DataSourceStreamReader):
         self.store = open_store(options["path"])
         self.most, self.ranges = positive(options, "maxCommits", None), positive(options, "numPartitions", 1)
         self.planned: str | None = options.get("resume")
+        self.warned: list[str] = []
+        self.told = 0
 
     def _offset(self, position: str) -> dict[str, Any]:
         return {"lsn": position, "commit_ts": self.store.time_of(position) or ""}
@@ -146,13 +148,19 @@ class ChangeReader(DataSourceStreamReader):
             newest = min(newest, self.store.nth_after(self.planned, self.most))
         return self._offset(max(newest, self.planned or lsn.ZERO))
 
+    def _warn(self, text: str) -> None:
+        """Say it once here; the next planned batch carries it to its facts."""
+        if text not in self.warned:
+            self.warned.append(text)
+            warnings.warn(text, stacklevel=3)
+
     def _stop(self) -> tuple[str, str] | None:
         """The last position before an instance that captures what this read cannot hold, and why. Declared columns leave new ones out, with a warning."""
         want = {n.lower(): t for n, t in self.columns}
         for inst in self.store.instances(self.options["table"])[1:]:
             new = [n for n, _ in inst["columns"] if n.lower() not in want]
             if new and self.options.get("columns"):
-                warnings.warn(f"instance {inst['name']} captures {', '.join(new)}, which the declared columns leave out", stacklevel=2)
+                self._warn(f"instance {inst['name']} captures {', '.join(new)}, which the declared columns leave out")
             elif new:
                 return lsn.before(inst["created"]), f"instance {inst['name']} captures a new column {new[0]!r}; restart the stream to read it"
             for n, t in inst["columns"]:
@@ -180,6 +188,9 @@ class ChangeReader(DataSourceStreamReader):
             if a <= b:
                 out += self._split(inst, a, b)
         out = out or [Range(names["newer"]["name"], hi, lsn.before(hi))]
+        if new := self.warned[self.told :]:
+            events.append({"event": "warnings", "detail": new})
+            self.told = len(self.warned)
         out[-1].events = events
         return out
 

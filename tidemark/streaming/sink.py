@@ -63,7 +63,9 @@ class BronzeWriter:
         facts = {"app_id": self.app_id, "batch_id": batch_id, "target": self.bronze.path}
         batch = facts | got | measured([e for _, e in found if e["event"] == "metrics"], got.get("max_commit_ts"))
         batch |= {"started_at": started, "duration_ms": int(1000 * (time.time() - began)), "end_lsn": got.get("max_lsn") or batch.get("end_lsn"), "end_commit_ts": got.get("max_commit_ts")}
-        rows = [batch, *[facts | {"event": e["event"], "detail": e.get("detail")} for _, e in found if e["event"] != "metrics"]]
+        if said := [w for _, e in found if e["event"] == "warnings" for w in e["detail"]]:
+            batch["detail"] = json.dumps({"warnings": said})
+        rows = [batch, *[facts | {"event": e["event"], "detail": e.get("detail")} for _, e in found if e["event"] not in ("metrics", "warnings")]]
         write_facts(df.sparkSession, self.facts, rows, (self.app_id, batch_id))
         if found:
             sidefiles.remove(self.events, sorted({name for name, _ in found}))
