@@ -28,7 +28,7 @@ Store = CaptureStore | LogFeed
 #: Options of both sources: what they mean and their defaults.
 OPTIONS = {
     "path": "folder of the change database", "table": "source table", "columns": "declared columns (DDL), instead of the instances' union",
-    "startingPosition": "earliest, latest, or the last position already read", "maxCommits": "commits of a batch at most", "numPartitions": "ranges of a batch", "leastRows": "rows of a range at least", "resume": "where the checkpoint stands, so that the first batch is capped too", "until": "last position of this run",
+    "startingPosition": "earliest, latest, or the last position already read", "maxCommits": "commits of a batch at most", "numPartitions": "ranges of a batch", "leastRows": "rows of a range at least", "resume": "where the checkpoint stands, or start, so that the first batch is capped too", "until": "last position of this run",
     "failOnDataLoss": "whether purged changes fail the read (true) or are skipped with an event", "schemaChangePolicy": "event, or fail on any DDL",
     "includeCommandId": "whether rows carry _command_id", "events": "folder for events of a batch", "snapshotPosition": "stamp of a snapshot", "lo": "least key (JSON)", "hi": "end of the keys (JSON)", "chunk": "number of the chunk",
 }
@@ -117,7 +117,8 @@ class ChangeReader(DataSourceStreamReader):
         self.options, self.columns, self.schema = options, columns, schema
         self.store = open_store(options["path"])
         self.most, self.ranges = positive(options, "maxCommits", None), positive(options, "numPartitions", 1)
-        self.planned: str | None = options.get("resume")
+        resume = options.get("resume")
+        self.planned: str | None = self._first() if resume == "start" else resume
         self.warned: list[str] = []
         self.told = 0
 
@@ -126,6 +127,11 @@ class ChangeReader(DataSourceStreamReader):
 
     def initialOffset(self) -> dict[str, Any]:
         """The position before the first one to read."""
+        self.planned = self._first()
+        return self._offset(self.planned)
+
+    @retrying
+    def _first(self) -> str:
         start, found = self.options.get("startingPosition", "earliest"), self.store.instances(self.options["table"])
         if start == "earliest":
             at = lsn.before(found[0]["low"])
@@ -133,8 +139,7 @@ class ChangeReader(DataSourceStreamReader):
             at = stamp(self.store, self.options["table"])
         else:
             at = lsn.normalize(start)
-        self.planned = at
-        return self._offset(at)
+        return at
 
     @retrying
     def latestOffset(self) -> dict[str, Any]:
@@ -352,7 +357,7 @@ class SnapshotReader(DataSourceReader):
             at = pa.scalar(ts, pa.string()).cast(pa.timestamp("us")).as_py() if ts else None
             fixed = {"_capture_instance": found["name"], "_start_lsn": self.at, "_seqval": None, "_operation": 0, "_command_id": None, "_commit_ts": at} | ({"_chunk": chunk[0]} if chunk else {})
             ends = [v[0] if isinstance(v, list) else v for v in (lo, hi)]
-            for batch in self.store.row_batches(table, keys[0] if keys else None, *ends, part, parts):
+            for batch in self.store.row_batches(table, keys[0] if keys else None, *ends, part, parts, closed=isinstance(hi, list) and len(hi) > 1):
                 yield _conformed(_within(batch, keys, lo, hi), self.schema, {}, fixed)
             return
         first = lambda v: (v is not None, v if v is not None else 0)

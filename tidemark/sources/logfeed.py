@@ -132,13 +132,14 @@ class LogFeed:
         met = rows.join(times, "lsn", join_type="inner").sort_by([(c, "ascending") for c in ("lsn", "command", "seq", "op")])
         yield from met.to_batches(max_chunksize=_ROWS)
 
-    def row_batches(self, table: str, key: str | None, lo: Any, hi: Any, part: int, parts: int) -> Iterator[pa.RecordBatch]:
-        """Rows of lo <= key < hi, every ``parts``-th fragment of row groups of them: no task reads all rows to leave some out."""
+    def row_batches(self, table: str, key: str | None, lo: Any, hi: Any, part: int, parts: int, *, closed: bool = False) -> Iterator[pa.RecordBatch]:
+        """Rows of lo <= key < hi (``closed``: <= hi, as the first key of a composite bound may be), every ``parts``-th fragment of row groups of them: no task reads all rows to leave some out."""
         some = None
         if key is not None and lo is not None:
             some = pc.field(key) >= lo
         if key is not None and hi is not None:
-            below = (pc.field(key) < hi) | pc.field(key).is_null() if lo is None else pc.field(key) < hi
+            under = pc.field(key) <= hi if closed else pc.field(key) < hi
+            below = under | pc.field(key).is_null() if lo is None else under
             some = below if some is None else some & below
         pieces = [g for f in self._data(f"tables/{table}").get_fragments(filter=some) for g in f.split_by_row_group(filter=some)]
         for f in pieces[part::parts]:

@@ -109,8 +109,7 @@ def stream(spark: SparkSession, store: Store, table: str, tables: Tables, checkp
         sidefiles.write(checkpoint, "generation.json", state)
     if state["snapshot_lsn"]:
         more["startingPosition"] = state["snapshot_lsn"]
-    if at is not None:
-        more["resume"] = at["lsn"]
+    more["resume"] = at["lsn"] if at is not None else "start"
     folder, app = checkpoint_of(checkpoint, state["generation"]), app_id if not state["generation"] else f"{app_id}.g{state['generation']}"
     events = f"{checkpoint}/events-{app}"
     rows = spark.readStream.format("tidemark_changes").options(**_options(store, table, more | {"events": events})).load()
