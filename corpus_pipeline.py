@@ -14,8 +14,17 @@ from tidemark.llm import mixing, ngram_join, packing, quality, secrets
 from tidemark.llm.shared import documents, durable
 
 
+#: Rows of an Arrow batch: texts are long, and a batch is held several times over on its way to and from Python.
+BATCH_ROWS = 2000
+
+
+def _bounded(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go; the rest stay as they are. A null text is empty and scored like any other; repeated rows share their score; without labels all have one score."""
+    _bounded(spark)
     model = quality.train_on_labels(spark, docs, sf_dir)
     return quality.score(docs, model).where(F.col("score") >= quality.THRESHOLD).select(docs.columns)
 
@@ -25,6 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Different texts under one doc_id, or under none, are judged apart. Rows without words all stay.
     """
+    _bounded(spark)
     return ngram_join.one_of_each(docs)
 
 
@@ -37,12 +47,14 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rate says, so that languages meet their target shares of tokens. Every row stays, repeated ones and those without a text or an id too; those of scarce languages repeat."""
+    _bounded(spark)
     rated = mixing.mixed(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return rated.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents and their places in sequences of 2048. A null text is empty: its end token is packed."""
+    _bounded(spark)
     return packing.pack(docs, packing.tokenizer_path())
 
 
