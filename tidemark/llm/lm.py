@@ -10,6 +10,11 @@ fitted on the driver, is what all vectors start from. Given its context vectors,
 of all words are independent problems, solved bucket by bucket; given these, so are the context
 vectors of all words. Both tables travel by ``addFile`` and are memory-mapped.
 
+Every probability is normalised over all words, exactly. What a frequent context says of any word, and
+any context of a frequent word, is the product of their own vectors. Contexts of the tail meet words
+of the tail by the mean vector of their group (see ``grouped``), plus what the context's own vector
+adds to the tail as a whole, so the sum over the tail is taken once a group, not once a context.
+
 Scoring looks frequent words up in a broadcast table of bounded size, the model's other words by a
 64-bit hash; the counts of words that are not broadcast come by a join on the word.
 """
@@ -49,8 +54,10 @@ GATHERED_AT_ONCE = 1 << 16
 NOISE, DRAWN, STEPS, DECAY = 8.0, 256, 6, 16.0
 #: Deviation of the tail's context vectors from their class's, before they are fitted.
 SCATTER = 0.3
-#: Words of the tail drawn to estimate a context's normaliser; the HEAD most frequent enter exactly.
-TAIL_DRAWN = 1024
+#: Axes whose signs tell the groups of the tail's contexts; as many contexts as groups or fewer have a group each.
+AXES = 12
+#: Rows of an Arrow batch: texts are long, and a batch is held several times over on its way to and from Python.
+BATCH_ROWS = 2000
 #: Stands for the end of a text; no word is empty.
 END = b""
 
@@ -295,10 +302,17 @@ def count_pairs(df: DataFrame, key: str, broadcast, vocab: Vocabulary, hashes: s
         held: list[np.ndarray] = []
 
         def out():
-            found, n = np.unique(np.concatenate(held), return_counts=True)
+            found = np.concatenate(held)
             held.clear()
+            found.sort()
+            at = np.flatnonzero(np.diff(found, prepend=-1))
+            n = np.diff(at, append=len(found)).astype(np.int32)
+            found = found[at]
+            del at
+            halves = (found >> 32).astype(np.int32), (found & 0xFFFFFFFF).astype(np.int32)
+            del found
             for side in (0, 1):
-                owner, other = (found >> 32, found & 0xFFFFFFFF) if side == 0 else (found & 0xFFFFFFFF, found >> 32)
+                owner, other = halves[side], halves[1 - side]
                 order = np.lexsort((owner, owner % buckets)) if side else np.argsort(owner % buckets, kind="stable")
                 owner, other, m = owner[order], other[order], n[order]
                 first = np.flatnonzero(np.diff(owner % buckets, prepend=-1))
@@ -458,30 +472,87 @@ def solve(pairs: DataFrame, slots: range, size: int, fixed, drawn_ids: np.ndarra
     return path
 
 
-def log_normalisers(spark: SparkSession, contexts: str, targets: str, size: int, ids: np.ndarray, log_weight: np.ndarray) -> np.ndarray:
-    """log sum exp of each context's scores over ``ids``, weighted."""
-    block = 1024
+def grouped(r: np.ndarray, weight: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each context's group, and the groups' vectors. The first ``own`` contexts have a group each; the others share one by the signs of their
+    vectors along the AXES widest axes, with the weighted mean as its vector, unless there are few of them. All contexts enter."""
+    size, width = len(r), r.shape[1] - 1
+    if size - own <= 1 << AXES:
+        return np.arange(size), np.asarray(r[:, :width], np.float32)
+    parts = [slice(a, min(size, a + GATHERED_AT_ONCE)) for a in range(own, size, GATHERED_AT_ONCE)]
+    total, mean, square = 0.0, np.zeros(width), np.zeros((width, width))
+    for p in parts:
+        x, w = np.asarray(r[p, :width], np.float64), weight[p]
+        total, mean, square = total + w.sum(), mean + w @ x, square + (x * w[:, None]).T @ x
+    mean /= total
+    axes = np.linalg.eigh(square / total - np.outer(mean, mean))[1][:, ::-1][:, :AXES]
+    group = np.arange(size)
+    sums, held = np.zeros((1 << AXES, width)), np.zeros(1 << AXES)
+    for p in parts:
+        x, w = np.asarray(r[p, :width], np.float64), weight[p]
+        code = ((x - mean) @ axes > 0) @ (1 << np.arange(axes.shape[1]))
+        group[p] = own + code
+        held += np.bincount(code, w, 1 << AXES)
+        for k in range(width):
+            sums[:, k] += np.bincount(code, w * x[:, k], 1 << AXES)
+    table = np.vstack((np.asarray(r[:own, :width], np.float64), sums / np.maximum(held, 1e-9)[:, None]))
+    return group, table.astype(np.float32)
+
+
+def log_sums(spark: SparkSession, rows: str, count: int, targets: str, words: tuple[int, int]) -> np.ndarray:
+    """log sum exp of the scores of each of ``count`` vectors in a file over all words of a range of ids, exactly."""
+    block = 256
 
     def run(batches):
-        q = np.asarray(shipped(targets)[ids], np.float32)
-        bias, q = q[:, -1] + log_weight, np.ascontiguousarray(q[:, :-1].T)
         for batch in batches:
             for at in batch.column(0).to_pylist():
-                s = np.asarray(shipped(contexts)[at * block : (at + 1) * block, :-1], np.float32) @ q + bias
-                top = s.max(1, keepdims=True)
-                z = top[:, 0] + np.log(np.exp(s - top).sum(1))
-                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([z.astype("<f4").tobytes()], pa.binary())], names=["at", "z"])
-
-    blocks = -(-size // block)
+                u = np.asarray(shipped(rows)[at * block : (at + 1) * block, :WIDTH], np.float32)
+                top, z = np.full(len(u), -np.inf, np.float32), np.zeros(len(u))
+                for a in range(words[0], words[1], 1 << 13):
+                    q = np.asarray(shipped(targets)[a : min(words[1], a + (1 << 13))], np.float32)
+                    s = u @ np.ascontiguousarray(q[:, :-1].T)
+                    s += q[:, -1]
+                    new = np.maximum(top, s.max(1))
+                    s -= new[:, None]
+                    np.exp(s, out=s)
+                    z, top = z * np.exp(top - new) + s.sum(1, dtype=np.float64), new
+                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([(top + np.log(z)).astype("<f4").tobytes()], pa.binary())], names=["at", "z"])
+
+    blocks = -(-count // block)
     got = spark.range(0, blocks, 1, min(blocks, 64)).mapInArrow(run, "at long, z binary").toArrow()
-    out = np.zeros(size, np.float32)
+    out = np.zeros(count, np.float32)
     for at, z in zip(got.column("at").to_pylist(), got.column("z").to_pylist(), strict=True):
         out[at * block : (at + 1) * block] = np.frombuffer(z, "<f4")
     return out
 
 
-def train_model(spark: SparkSession, pairs: DataFrame, buckets: int, vocab: Vocabulary) -> tuple[str, str, str]:
-    """Files of the context vectors, the target vectors (bias last) and the contexts' log normalisers."""
+def normalised(spark: SparkSession, r_file: str, q_file: str, uni: np.ndarray, own: int) -> tuple[str, str]:
+    """Files of the groups' vectors, and of each context's group, what it adds to the tail's scores and its log normaliser; words from ``own`` on are the tail."""
+    size, r, q = len(uni), shipped(r_file), shipped(q_file)
+    group, table = grouped(r, uni, own)
+    g_file = ship(spark, table)
+    context = np.zeros((size, 3), np.float32)
+    context[:, 0] = group
+    context[:, 2] = log_sums(spark, r_file, size, q_file, (0, own)) if own else -np.inf
+    if own < size:
+        mean = sum(uni[a : a + GATHERED_AT_ONCE] @ np.asarray(q[a : a + GATHERED_AT_ONCE, :-1], np.float64) for a in range(own, size, GATHERED_AT_ONCE)) / uni[own:].sum()
+        for a in range(0, size, GATHERED_AT_ONCE):
+            b = min(size, a + GATHERED_AT_ONCE)
+            context[a:b, 1] = (np.asarray(r[a:b, :-1], np.float32) - table[group[a:b]]) @ mean.astype(np.float32)
+        tail = log_sums(spark, g_file, len(table), q_file, (own, size))
+        context[:, 2] = np.logaddexp(context[:, 2], context[:, 1] + tail[group])
+    return g_file, ship(spark, context)
+
+
+def log_probability(before: np.ndarray, now: np.ndarray, own: int, r: np.ndarray, q: np.ndarray, groups: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Natural log p(now | before) of ids."""
+    at, u, v = context[before], r[before, :-1].astype(np.float32), q[now].astype(np.float32)
+    tail = now >= own
+    u[tail] = groups[at[tail, 0].astype(np.int64)]
+    return np.einsum("ij,ij->i", u, v[:, :-1]) + v[:, -1] + np.where(tail, at[:, 1], 0) - at[:, 2]
+
+
+def train_model(spark: SparkSession, pairs: DataFrame, buckets: int, vocab: Vocabulary) -> tuple[str, str, int, str, str]:
+    """Files of the context vectors and the target vectors (bias last), the number of words before the tail, and the files of ``normalised``."""
     size, head = vocab.size, min(HEAD, vocab.size)
     model = LogBilinear(head).fit(head_table(pairs.where(F.col("slot") < buckets), head))
     uni = vocab.unigram() + 0.5
@@ -506,12 +577,8 @@ def train_model(spark: SparkSession, pairs: DataFrame, buckets: int, vocab: Voca
         r_file = ship_file(spark, solve(pairs, range(buckets), size, fixed, drawn, r, None))
     else:
         q_file, r_file = ship(spark, q), ship(spark, r)
-    ids, weight = np.arange(head), np.zeros(head, np.float32)
-    if size > head:
-        tail_uni = uni[head:] / uni[head:].sum()
-        more = head + rng.choice(size - head, TAIL_DRAWN, p=tail_uni)
-        ids, weight = np.concatenate((ids, more)), np.concatenate((weight, -np.log(TAIL_DRAWN * tail_uni[more - head]))).astype(np.float32)
-    return r_file, q_file, ship(spark, log_normalisers(spark, r_file, q_file, size, ids, weight))
+    own = head - 1 if size > head else size
+    return r_file, q_file, own, *normalised(spark, r_file, q_file, uni, own)
 
 
 def score(df: DataFrame, train: DataFrame, *, size: int | None = None, frequent: int = FREQUENT) -> DataFrame:
@@ -526,7 +593,7 @@ def score(df: DataFrame, train: DataFrame, *, size: int | None = None, frequent:
     key = f"{id(vocab)}-{vocab.tokens}-{vocab.distinct}-{least}"
     shared = spark.sparkContext.broadcast({"words": vocab.words})
     hashes, inside, other = ship(spark, vocab.hashes), vocab.inside, vocab.size - 1
-    r_file, q_file, z_file = train_model(spark, *count_pairs(train, key, shared, vocab, hashes), vocab)
+    r_file, q_file, common, g_file, c_file = train_model(spark, *count_pairs(train, key, shared, vocab, hashes), vocab)
     tables = spark.sparkContext.broadcast(np.log10(vocab.counts + 1.0))
     base_den, rest_den = math.log10(vocab.base_denominator), math.log10(vocab.rest_denominator)
     names = ["rid", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest"]
@@ -535,7 +602,7 @@ def score(df: DataFrame, train: DataFrame, *, size: int | None = None, frequent:
 
     def run(batches):
         index, logs = _shared_index(key, shared), tables.value
-        r_table, q_table, z_table = shipped(r_file), shipped(q_file), shipped(z_file)
+        model = shipped(r_file), shipped(q_file), shipped(g_file), shipped(c_file)
         rid = TaskContext.get().partitionId() << 33
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -554,9 +621,8 @@ def score(df: DataFrame, train: DataFrame, *, size: int | None = None, frequent:
                 base = total(logc) - sizes * base_den
                 log_p = np.empty(len(now))
                 for a in range(0, len(now), GATHERED_AT_ONCE):
-                    i, j = before[a : a + GATHERED_AT_ONCE], now[a : a + GATHERED_AT_ONCE]
-                    q = q_table[j].astype(np.float32)
-                    log_p[a : a + len(i)] = np.einsum("ij,ij->i", r_table[i, :-1].astype(np.float32), q[:, :-1]) + q[:, -1] - z_table[i]
+                    b = a + GATHERED_AT_ONCE
+                    log_p[a:b] = log_probability(before[a:b], now[a:b], common, *model)
                 full = total(np.minimum(log_p, 0) / math.log(10) + np.where(outside, logc - rest_den, 0.0))
                 rest: list[dict[bytes, int]] = [{} for _ in words]
                 unseen = np.flatnonzero(~here)
@@ -601,5 +667,6 @@ def score(df: DataFrame, train: DataFrame, *, size: int | None = None, frequent:
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score; those whose crc32(doc_id) mod 7 is 2 are held out. See ``score``; a null doc_id is not held out."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     docs = documents(spark, sf_dir).select("doc_id", "text", (crc_mod("doc_id", 7) == 2).alias("held_out"))
     return score(docs, docs.where(~F.col("held_out")))
